@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from siftspark.llm import language, licenses, packing, quality, toxicity, url_filters
+from siftspark.llm import embedding_dedup, jaccard_join, language, licenses, packing, quality, toxicity, url_filters
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op3_embedding_dedup": embedding_dedup.op3_embedding_dedup,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_packing": packing.op6_packing,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_url_filters": url_filters.op8_url_filters,
