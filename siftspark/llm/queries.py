@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from siftspark.llm import embedding_dedup, jaccard_join, language, licenses, packing, quality, toxicity, url_filters
+from siftspark.llm import decontamination, embedding_dedup, jaccard_join, language, licenses, packing, quality, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_embedding_dedup": embedding_dedup.op3_embedding_dedup,
+    "op4_decontamination": decontamination.op4_decontamination,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_packing": packing.op6_packing,
     "op7_toxicity": toxicity.op7_toxicity,

@@ -43,6 +43,11 @@ class Model:
     log_k: float = -2.0
     curve: tuple[float, float, float] = (-3.0, 1.0, 0.0)
 
+    def probability(self, found: np.ndarray) -> np.ndarray:
+        """Of each document's evidence; with documents that hold no toxic passage the curve's low end."""
+        a, b, c = self.curve
+        return 1 / (1 + np.exp(-np.clip(a + b * np.sqrt(found[:, 0]) + c * np.clip(found[:, 1], -10, 30), -30, 30)))
+
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
     """(log-odds, z) of words from their counts and the totals of toxic and clean text.  The log-odds are under a Dirichlet
@@ -226,8 +231,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         for batch in batches:
             for i, j, buf, off in tk.slices(batch.column(1)):
                 out, found = evidence(model, buf, off, index)
-                a, b, c = model.curve
-                p = 1 / (1 + np.exp(-np.clip(a + b * np.sqrt(out[:, 0]) + c * np.clip(out[:, 1], -10, 30), -30, 30)))
+                p = model.probability(out)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i), pa.array(p), pa.array((p >= threshold).astype(np.int32)),
@@ -241,6 +245,20 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return docs.select(F.col(key).cast("long").alias("_k"), F.col(text).cast("string").alias("_t")).mapInArrow(run, schema)
 
 
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose text isn't judged toxic, with all their columns."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = tk.HashIndex(model.hashes)
+        for batch in batches:
+            keep = [model.probability(evidence(model, buf, off, index)[0]) < threshold for _, _, buf, off in tk.slices(batch.column(at))]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
