@@ -133,7 +133,7 @@ def shingles(words: Words, k: int, short: bool = True) -> tuple[np.ndarray, np.n
     for i in range(k):
         there = left > i
         shifted = np.zeros(n, np.uint64)
-        shifted[: n - i] = h[i:]
+        shifted[: max(n - i, 0)] = h[i:]
         out = np.where(there, mix64(out + shifted * np.uint64(2 * i + 3) + np.uint64(i + 1)), out)
     keep = left >= k
     if short:

@@ -29,7 +29,8 @@ Z = 4.0
 WORD_ODDS, PREFIX_ODDS = 2.0, 3.0
 #: Bytes of the prefixes that words back off to, the longest first.
 PREFIXES = (8, 7, 6, 5, 4)
-PRIOR = 1000.0
+#: Weight of the prior in words, at most, and as a share of the sample's.
+PRIOR, PRIOR_SHARE = 1000.0, 0.01
 #: What a token without a weight takes from a segment.
 DRIFT = 0.35
 THRESHOLD = 0.3
@@ -52,6 +53,7 @@ class Model:
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
     """(log-odds, z) of words from their counts and the totals of toxic and clean text.  The log-odds are under a Dirichlet
     prior of their joint shares; z is the signed root of the likelihood ratio, which stands at counts of zero too."""
+    prior = min(prior, PRIOR_SHARE * (n_toxic + n_clean))
     alpha = prior * (toxic + clean) / (n_toxic + n_clean) + 1e-3
     a, b = toxic + alpha, clean + alpha
     delta = np.log(a / (n_toxic + prior - a)) - np.log(b / (n_clean + prior - b))
@@ -135,11 +137,11 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 40, ridge: float = 0.05
 
 
 def _least_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two independent least hashes of each document's three-word shingles; its key's own where it has none."""
+    """Two independent least hashes of each document's five-word shingles; its key's own where it has none."""
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         for i, j, buf, off in tk.slices(batch.column(1)):
-            doc, h, _ = tk.shingles(tk.Words(buf, off, tk.ALNUM), 3)
+            doc, h, _ = tk.shingles(tk.Words(buf, off, tk.ALNUM), 5)
             own = tk.mix64(keys[i:j].astype(np.int64).view(np.uint64))
             out = []
             for seed in (np.uint64(0), np.uint64(0xABCDEF)):
