@@ -1,8 +1,8 @@
 """N-gram Jaccard join with count-vector R-trees.
 
-A document's set of word shingles is a point: how many of its shingles hash to each of GROUPS groups.  The overlap of two
-sets is at most the sum of their coordinate minima, which bounds whole boxes of points as well; pairs that survive the
-boxes and the points are verified on the sets themselves.
+A document's set of word shingles is a point: how many of its shingles hash to each group.  Larger sets have more groups, in
+powers of two, so that points fold onto fewer groups.  The overlap of two sets is at most the sum of their coordinate
+minima, which bounds whole boxes of points as well; pairs that survive the boxes and the points are verified on the sets.
 
 One tree over all documents can't be split among machines, so points are first routed to cells without losing a pair: sets
 whose Jaccard index reaches t share a shingle among the first n - ceil(t n) + 1 of either in any common order, and a cell
@@ -26,8 +26,9 @@ from siftspark.llm import textkit as tk
 from siftspark.llm.common import written
 from siftspark.llm.graph import components
 
-#: Groups that shingles are hashed into; the points' dimensions.
-GROUPS = 128
+#: Shingles per group, about: a set of n shingles is hashed into a power of two of groups, n / SPREAD of them at least.
+SPREAD = 1.5
+LEAST_GROUPS = 16
 #: Points of a leaf, and nodes of an inner node.
 FANOUT = 32
 #: Documents of one cell that one task compares with as many others.
@@ -40,6 +41,22 @@ COUNTED = 16 << 20
 BROADCAST_IDS = 1_000_000
 
 
+def points_of(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Each document's counts by group, a byte a group; 255 stands for any count from there on."""
+    groups = np.maximum(LEAST_GROUPS, 2.0 ** np.ceil(np.log2(np.maximum(n, 1) / SPREAD))).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(groups)])
+    place = base[doc] + (h & (groups[doc] - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.minimum(np.bincount(place, minlength=base[-1]), 255).astype(np.uint8)
+    return [counts[a:b].tobytes() for a, b in zip(base[:-1], base[1:], strict=True)]
+
+
+def point(data: bytes, groups: int) -> np.ndarray:
+    """Counts on this many groups, of a point on as many or more; never less than they are."""
+    counts = np.frombuffer(data, np.uint8).astype(np.int32)
+    counts[counts == 255] = 1 << 20
+    return counts.reshape(-1, groups).sum(axis=0)
+
+
 class Tree:
     """An R-tree over count vectors, packed by size and by its widest coordinates; boxes keep their maxima."""
 
@@ -111,7 +128,7 @@ def _identity(h: np.ndarray, at: np.ndarray, some: np.ndarray) -> tuple[np.ndarr
 
 
 def _prefixed(k: int, top: int, bottom: int, frequent: np.ndarray):
-    """Size, 128-bit identity and routing shingles of each document's set."""
+    """Size, 128-bit identity, routing shingles and point of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = tk.HashIndex(frequent)
@@ -129,9 +146,9 @@ def _prefixed(k: int, top: int, bottom: int, frequent: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(first), pa.array(second),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(kept.view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(kept.view(np.int64))), pa.array(points_of(doc, h, n), pa.binary()),
                     ],
-                    names=["id", "n", "h1", "h2", "prefix"],
+                    names=["id", "n", "h1", "h2", "prefix", "v"],
                 )
 
     return run
@@ -173,9 +190,14 @@ def _verified(top: int, bottom: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, top: int, bottom: int, share: int = 256) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold.  A set with many partners is sent to as many tasks as they fill."""
-    pairs = written(pairs.groupBy("a", "b").agg(F.lit(0).alias("_")).drop("_"))
+def verify(pairs: DataFrame, rows: DataFrame, k: int, top: int, bottom: int, repeated: bool, share: int = 256) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold.  Sets are made anew from the texts of the pairs' documents alone; a
+    set with many partners is sent to as many tasks as they fill."""
+    pairs = written(pairs)
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.lit(0).alias("_")).select("id")
+    sets = written(of_ids(rows, ids, "id").select("id", "t").mapInArrow(_whole_sets(k), "id long, n long, h1 long, h2 long, s binary"))
+    if repeated:
+        sets = written(sets.where("n > 0").groupBy("id").agg(F.min(F.struct("n", "h1", "h2", "s")).alias("x")).select("id", "x.*"))
     tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(share)).cast("int").alias("tasks"))
     right = (
         pairs.join(tasks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("salt"), F.lit(1).alias("role"), "b")
@@ -189,32 +211,46 @@ def verify(pairs: DataFrame, sets: DataFrame, top: int, bottom: int, share: int
     return rows.mapInArrow(_verified(top, bottom), "a long, b long")
 
 
-def _counted(groups: int):
+def _bounded(top: int, bottom: int):
+    """Of pairs with their sizes and points, those whose coordinate minima allow the threshold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [np.bincount((np.frombuffer(s, np.uint64) % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32).tobytes() for s in batch.column("s").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], names=["id", "v"])
+            keep = []
+            for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("v", "w", "n", "m")), strict=True):
+                groups = min(len(x), len(y))
+                keep.append(int(np.minimum(point(x, groups), point(y, groups)).sum()) * (top + bottom) >= top * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _searched(top: int, bottom: int):
-    """Candidate pairs of each block: rows sorted by cell and block pair, each with its side."""
+def bounded(pairs: DataFrame, points: DataFrame, top: int, bottom: int) -> DataFrame:
+    """The distinct pairs (a, b) that their points don't rule out."""
+    pairs = pairs.groupBy("a", "b").agg(F.lit(0).alias("_")).drop("_")
+    both = pairs.join(points.select(F.col("id").alias("a"), "n", "v"), "a").join(points.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("v").alias("w")), "b")
+    return both.select("a", "b", "n", "m", "v", "w").mapInArrow(_bounded(top, bottom), "a long, b long")
+
+
+def _searched(top: int, bottom: int, first: bool):
+    """Candidate pairs of each block: rows sorted by cell and block pair, each with its side.  With first, of each document's
+    candidates the one of the smallest id."""
 
     def block(rows: list[tuple]) -> list[tuple[int, int]]:
         tree_rows = [r for r in rows if r[5] != 0]  # of the second block; a block with itself has side 2
         ask = [r for r in rows if r[5] != 1]
         if not tree_rows or not ask:
             return []
-        points = np.frombuffer(b"".join(r[3] for r in tree_rows), np.int32).reshape(len(tree_rows), -1)
+        groups = min(len(r[3]) for r in rows)
+        points = np.stack([point(r[3], groups) for r in tree_rows])
         sizes = np.array([r[1] for r in tree_rows])
         tree = Tree(points, sizes)
         out = []
         for r in ask:
-            for i in tree.search(np.frombuffer(r[3], np.int32), r[1], top, bottom).tolist():
-                o = tree_rows[i]
-                if r[2] != o[2] and (r[4] or o[4]) and (r[5] != 2 or r[0] < o[0]):
-                    out.append((min(r[0], o[0]), max(r[0], o[0])))
+            near = (tree_rows[i] for i in tree.search(point(r[3], groups), r[1], top, bottom).tolist())
+            near = [o[0] for o in near if r[2] != o[2] and (r[4] or o[4])]
+            near = [min(near)] if first and near else near
+            out += [(min(r[0], o), max(r[0], o)) for o in near if first or r[5] != 2 or r[0] < o]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +274,8 @@ def _searched(top: int, bottom: int):
     return run
 
 
-def residual(cells: DataFrame, sets: DataFrame, groups: DataFrame, top: int, bottom: int, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a, b) of cells whose members' components differ.
+def residual(cells: DataFrame, points: DataFrame, groups: DataFrame, top: int, bottom: int, first: bool, block: int = BLOCK) -> DataFrame:
+    """Candidate pairs (a, b) of cells whose members' components differ; with first, one of each document in a block.
 
     Within a cell documents lie in buckets of size, so wide that a pair that can link lies in one bucket or in two
     neighbouring ones; large buckets are cut into blocks, and every two blocks meet in a task of their own.
@@ -258,16 +294,15 @@ def residual(cells: DataFrame, sets: DataFrame, groups: DataFrame, top: int, bot
     placed = placed.join(size, ["token", "bucket"]).withColumn("s", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("s") == F.col("o"), 2).when(F.col("s") < F.col("o"), 0).otherwise(1)
     placed = placed.select("token", "bucket", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "id", "n", "component", "home", side.alias("side"))
-    points = sets.join(of.groupBy("id").agg(F.lit(0).alias("_")).select("id"), "id").select("id", "s").mapInArrow(_counted(GROUPS), "id long, v binary")
-    rows = placed.join(points, "id").repartition("token", "bucket", "i", "j").sortWithinPartitions("token", "bucket", "i", "j")
-    return rows.mapInArrow(_searched(top, bottom), "a long, b long")
+    rows = placed.join(points.select("id", "v"), "id").repartition("token", "bucket", "i", "j").sortWithinPartitions("token", "bucket", "i", "j")
+    return rows.mapInArrow(_searched(top, bottom, first), "a long, b long").groupBy("a", "b").agg(F.lit(0).alias("_")).drop("_")
 
 
-def of_ids(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """The rows whose id is among the ids: sent to all while they are few, shuffled beyond."""
+def of_ids(docs: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose id is among the ids (or isn't): these are sent to all while they are few, shuffled beyond."""
     ids = written(ids)
     few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, column, "left_semi")
+    return docs.join(F.broadcast(ids) if few else ids, column, how)
 
 
 def join_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, top: int = 85, bottom: int = 100) -> DataFrame:
@@ -281,31 +316,38 @@ def join_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     local = rows.select("t").mapInArrow(_locally_frequent(k), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     frequent = local.where("n >= 20").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()["h"].to_numpy(np.int64).view(np.uint64)
-    sets = written(rows.mapInArrow(_prefixed(k, top, bottom, frequent), "id long, n long, h1 long, h2 long, prefix array<long>"))
+    sets = written(rows.mapInArrow(_prefixed(k, top, bottom, frequent), "id long, n long, h1 long, h2 long, prefix array<long>, v binary"))
     full = sets.where("n > 0 and id is not null")
     same = ["n", "h1", "h2"]
     repeated = bool(full.groupBy("id").count().where("count > 1").take(1))
     if repeated:
-        full = full.groupBy("id").agg(F.min(F.struct(*same, "prefix")).alias("x")).select("id", "x.*")
-    classes = written(full.groupBy(*same).agg(F.min("id").alias("rep")))
-    tokens = full.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", F.explode("prefix").alias("token"))
-    by = Window.partitionBy("token")
-    cells = tokens.select(
-        "token", "id", "n",
-        F.count("*").over(by).alias("m"), F.min(F.struct("id", "n")).over(by).alias("least"), F.bit_xor(F.xxhash64("id", "n")).over(by).alias("mark"),
-    ).where("m > 1")
+        full = full.groupBy("id").agg(F.min(F.struct(*same, "prefix", "v")).alias("x")).select("id", "x.*")
+    classes = written(full.groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
+    copies = full.join(classes.where("copies > 1"), same).where("id <> rep").select("id")
+    alone = of_ids(full, copies, "id", "left_anti")
+    points = alone.select("id", "n", "v")
+    by, sized = Window.partitionBy("token"), Window.partitionBy("token").orderBy("n")
+    cells = alone.select("id", "n", F.explode("prefix").alias("token")).select(
+        "token", "id", "n", F.lag("n").over(sized).alias("below"), F.lead("n").over(sized).alias("above"),
+        F.min(F.struct("id", "n")).over(by).alias("least"), F.count("*").over(by).alias("m"), F.bit_xor(F.xxhash64("id", "n")).over(by).alias("mark"),
+    )
+    # A document with no other of a size that can link in its cell has nothing to find there.
+    cells = cells.where((F.col("below") * bottom >= F.col("n") * top) | (F.col("n") * bottom >= F.col("above") * top)).drop("below", "above")
     cells = written(cells)
     one = cells.groupBy("m", "least", "mark").agg(F.min("token").alias("token")).select("token")
     cells = written(cells.join(one, "token"))
-    ids = cells.groupBy("id").agg(F.lit(0).alias("_")).select("id")
-    whole = written(of_ids(rows.where("id is not null"), ids, "id").select("id", "t").mapInArrow(_whole_sets(k), "id long, n long, h1 long, h2 long, s binary"))
-    if repeated:
-        whole = written(whole.where("n > 0").groupBy("id").agg(F.min(F.struct(*same, "s")).alias("x")).select("id", "x.*"))
     near = (F.least("n", "least.n") * bottom >= F.greatest("n", "least.n") * top) & (F.col("id") != F.col("least.id"))
-    stars = written(verify(cells.where(near).select(F.col("least.id").alias("a"), F.col("id").alias("b")), whole, top, bottom))
+    stars = bounded(cells.where(near).select(F.col("least.id").alias("a"), F.col("id").alias("b")), points, top, bottom)
+    stars = written(verify(stars, rows, k, top, bottom, repeated))
     groups = components(stars)
-    rest = written(verify(residual(cells.where("m > 2"), whole, groups, top, bottom), whole, top, bottom))
-    groups = components(stars.unionByName(rest)) if rest.take(1) else groups
+    # Most of what the stars missed joins by one candidate of each document; only then every pair that is left is looked at,
+    # so that a large group of near copies isn't expanded into its pairs.
+    for first in (True, False):
+        rest = residual(cells.where("m > 2"), points, groups, top, bottom, first)
+        rest = written(verify(rest, rows, k, top, bottom, repeated))
+        if rest.take(1):
+            stars = written(stars.unionByName(rest))
+            groups = components(stars)
     # Documents of equal sets take their representative's component.
     named = full.join(classes, same).select("id", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("id", F.coalesce("component", "rep").alias("component"))
