@@ -28,7 +28,7 @@ from siftspark.llm.graph import components
 
 #: Shingles per group, about: a set of n shingles is hashed into a power of two of groups, n / SPREAD of them at least.
 SPREAD = 1.5
-LEAST_GROUPS = 16
+LEAST_GROUPS, CELL_GROUPS = 16, 512
 #: Points of a leaf, and nodes of an inner node.
 FANOUT = 32
 #: Documents of one cell that one task compares with as many others.
@@ -211,6 +211,13 @@ def verify(pairs: DataFrame, rows: DataFrame, k: int, top: int, bottom: int, rep
     return rows.mapInArrow(_verified(top, bottom), "a long, b long")
 
 
+def _coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Points on CELL_GROUPS groups at most, for cells, which hold a document many times."""
+    for batch in batches:
+        v = [np.minimum(point(x, min(CELL_GROUPS, len(x))), 255).astype(np.uint8).tobytes() for x in batch.column("v").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(v, pa.binary())], names=["id", "v"])
+
+
 def _bounded(top: int, bottom: int):
     """Of pairs with their sizes and points, those whose coordinate minima allow the threshold."""
 
@@ -294,8 +301,9 @@ def residual(cells: DataFrame, points: DataFrame, groups: DataFrame, top: int, b
     placed = placed.join(size, ["token", "bucket"]).withColumn("s", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("s") == F.col("o"), 2).when(F.col("s") < F.col("o"), 0).otherwise(1)
     placed = placed.select("token", "bucket", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "id", "n", "component", "home", side.alias("side"))
-    rows = placed.join(points.select("id", "v"), "id").repartition("token", "bucket", "i", "j").sortWithinPartitions("token", "bucket", "i", "j")
-    return rows.mapInArrow(_searched(top, bottom, first), "a long, b long").groupBy("a", "b").agg(F.lit(0).alias("_")).drop("_")
+    coarse = points.select("id", "v").mapInArrow(_coarse, "id long, v binary")
+    rows = placed.join(coarse, "id").repartition("token", "bucket", "i", "j").sortWithinPartitions("token", "bucket", "i", "j")
+    return bounded(rows.mapInArrow(_searched(top, bottom, first), "a long, b long"), points, top, bottom)
 
 
 def of_ids(docs: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
