@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.session import checkpointed
+
 
 def reachable(roots: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     """(node, depth) of all nodes within so many steps; every node at its least depth, so that cycles end.
@@ -17,9 +19,9 @@ def reachable(roots: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     last = seen
     for d in range(1, depth + 1):
         step = last.join(edges, last["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        last = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d)).checkpoint(eager=True) if d % 8 == 0 else step.join(
-            seen.select("node"), "node", "left_anti"
-        ).withColumn("depth", F.lit(d))
+        last = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
+        if d % 8 == 0:  # else the plan grows with the depth
+            last = checkpointed(last)
         seen = seen.unionByName(last)
     return seen
 

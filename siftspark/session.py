@@ -23,3 +23,12 @@ def local_session(cpus: int = 8, partitions: int = 8, app: str = "siftspark") ->
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table by name; any path that Spark itself can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows with their lineage cut, in the checkpoint folder of the session; one is set only where none is."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.sparkContext.setCheckpointDir(place)
+    return df.checkpoint(eager=True)

@@ -141,6 +141,12 @@ def test_closure_ends_on_cycles(spark):
     assert sorted(map(tuple, closure.reachable(roots, edges, 3).collect())) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
 
 
+def test_deep_closure_cuts_its_lineage(spark):
+    edges = spark.createDataFrame([(str(i), str(i + 1)) for i in range(20)], "src string, dst string")
+    roots = spark.createDataFrame([("0",)], "node string")
+    assert closure.reachable(roots, edges, 10).count() == 11
+
+
 def test_globs():
     import re
 
