@@ -19,9 +19,8 @@ def reachable(roots: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     last = seen
     for d in range(1, depth + 1):
         step = last.join(edges, last["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        last = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
-        if d % 8 == 0:  # else the plan grows with the depth
-            last = checkpointed(last)
+        # Each level reads the one before twice; left as plans, their size would double with every level.
+        last = checkpointed(step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d)))
         seen = seen.unionByName(last)
     return seen
 
