@@ -36,7 +36,7 @@ BLOCK = 1024
 #: Frequent shingles that are put last, at most; the order changes the work, never the result.
 FREQUENT = 200_000
 #: Bytes of text over which a shingle is counted before it is reported as locally frequent.
-COUNTED = 16 << 20
+COUNTED = 8 << 20
 #: Ids up to which a set of ids is sent to all executors instead of being shuffled with the texts.
 BROADCAST_IDS = 1_000_000
 
@@ -172,7 +172,7 @@ def _verified(top: int, bottom: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, mine = None, None
-        for batch in batches:
+        for batch in tk.parts(batches):
             found = []
             for key, role, other, s in zip(*(batch.column(c).to_pylist() for c in ("a", "role", "b", "s")), strict=True):
                 h = np.frombuffer(s, np.uint64)
@@ -213,7 +213,7 @@ def verify(pairs: DataFrame, rows: DataFrame, k: int, top: int, bottom: int, rep
 
 def _coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Points on CELL_GROUPS groups at most, for cells, which hold a document many times."""
-    for batch in batches:
+    for batch in tk.parts(batches):
         v = [np.minimum(point(x, min(CELL_GROUPS, len(x))), 255).astype(np.uint8).tobytes() for x in batch.column("v").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(v, pa.binary())], names=["id", "v"])
 
@@ -222,7 +222,7 @@ def _bounded(top: int, bottom: int):
     """Of pairs with their sizes and points, those whose coordinate minima allow the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tk.parts(batches):
             keep = []
             for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("v", "w", "n", "m")), strict=True):
                 groups = min(len(x), len(y))
@@ -267,7 +267,7 @@ def _searched(top: int, bottom: int, first: bool):
             pairs = list(dict.fromkeys(pairs))
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
-        for batch in batches:
+        for batch in tk.parts(batches):
             columns = [batch.column(c).to_pylist() for c in ("token", "bucket", "i", "j", "id", "n", "component", "v", "home", "side")]
             for token, bucket, i, j, *row in zip(*columns, strict=True):
                 if (token, bucket, i, j) != key:

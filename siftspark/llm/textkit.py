@@ -14,7 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer document forms a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+#: Rows of an Arrow batch that are turned into Python or copied at once.
+PART_ROWS = 500
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -53,20 +55,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of documents; null texts count as empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
-    n = len(column)
-    if not n:
-        return
-    _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    i = 0
-    while i < n:
-        j = max(i + 1, min(n, int(np.searchsorted(off, off[i] + max_bytes, "right")) - 1))
-        yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
-        i = j
+    for begin in range(0, len(column), PART_ROWS):
+        part = pc.fill_null(column.slice(begin, PART_ROWS), "").cast(pa.large_string())
+        n = len(part)
+        _, offsets, data = part.buffers()
+        off = np.frombuffer(offsets, np.int64)[part.offset : part.offset + n + 1]
+        data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        i = 0
+        while i < n:
+            j = max(i + 1, min(n, int(np.searchsorted(off, off[i] + max_bytes, "right")) - 1))
+            yield begin + i, begin + j, data[off[i] : off[j]], off[i : j + 1] - off[i]
+            i = j
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of PART_ROWS rows at most, without copying."""
+    for batch in batches:
+        for at in range(0, len(batch), PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
 
 
 def per_doc(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
