@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftspark.llm import textkit as tk
 from siftspark.llm.common import written
 from siftspark.llm.graph import components
 
@@ -29,37 +30,47 @@ BLOCK = 2048
 _ROW = "pass int, grp string, dim int, code long, id long, v binary"
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in column), np.float64).reshape(-1, dim)
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, in double precision, whatever their scale."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _projected(passes: int, bits: int):
+def _vectors(values: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors of equal dimension from their bytes; ``kind`` is the width that they came in."""
+    return _unit(np.frombuffer(b"".join(values), kind).reshape(len(values), -1))
+
+
+def _packed(kind: str):
+    """Valid vectors as bytes of their own width; zero vectors are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.parts(batches):
+            rows = [np.asarray(x, kind) for x in batch.column(2).to_pylist()]
+            some = pa.array([bool(x.any()) for x in rows], pa.bool_())
+            packed = pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary())], names=["id", "grp", "dim", "v"]
+            )
+            yield packed.filter(some)
+
+    return run
+
+
+def _projected(passes: int, bits: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
-                dims = np.array(part.column(3))
+                dims = part.column("dim").to_numpy()
                 for dim in np.unique(dims).tolist():
-                    rows = np.flatnonzero(dims == dim)
-                    sub = part.take(pa.array(rows))
-                    flat = sub.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                    x = flat.reshape(-1, dim)
-                    scale = np.abs(x).max(axis=1)
-                    some = scale > 0
-                    x = _unit(x[some] / scale[some, None])
-                    if not len(x):
-                        continue
-                    sub = sub.filter(pa.array(some))
-                    v = pa.array([r.tobytes() for r in x], pa.binary())
+                    sub = part.take(pa.array(np.flatnonzero(dims == dim)))
+                    x = _vectors(sub.column("v").to_pylist(), kind)
                     for p in range(passes):
                         plane = np.random.RandomState(1000 * p + 17).standard_normal((dim, bits))
                         code = ((x @ plane) > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(x), p, np.int32)), sub.column(1), pa.array(np.full(len(x), dim, np.int32)), pa.array(code), sub.column(0), v],
+                            [pa.array(np.full(len(x), p, np.int32)), sub.column("grp"), sub.column("dim"), pa.array(code), sub.column("id"), sub.column("v")],
                             names=["pass", "grp", "dim", "code", "id", "v"],
                         )
 
@@ -87,7 +98,7 @@ class _Forest:
         return True
 
 
-def _neighbours(threshold: float, window: int, borders: bool):
+def _neighbours(threshold: float, window: int, borders: bool, kind: str):
     """Links between sorted rows within the window; with borders also the partition's first and last rows, which the next
     partition's rows may link to."""
 
@@ -124,7 +135,7 @@ def _neighbours(threshold: float, window: int, borders: bool):
                 links = []
                 for dim in np.unique(dims).tolist():
                     own = np.flatnonzero(dims == dim)
-                    x = _matrix(rows.column("v").take(pa.array(own)), dim)
+                    x = _vectors(rows.column("v").take(pa.array(own)).to_pylist(), kind)
                     for k in range(1, min(window, len(own) - 1) + 1):
                         same = np.flatnonzero((run_[own[k:]] == run_[own[:-k]]) & (own[k:] >= fresh) & (ids[own[k:]] != ids[own[:-k]]))
                         near = same[np.einsum("ij,ij->i", x[same + k], x[same]) >= threshold]
@@ -145,36 +156,40 @@ def _neighbours(threshold: float, window: int, borders: bool):
     return run
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of vectors by component: of what a task reads, or of sorted partial sums."""
-    found: dict[int, list] = {}
+def _sums(kind: str | None):
+    """Sums of unit vectors by component over what a task reads; without a kind, of sums in double precision."""
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int64()), pa.array([x[0].tobytes() for x in found.values()], pa.binary()), pa.array([x[1] for x in found.values()], pa.int64())], names=["component", "v", "n"]
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.int64()), pa.array([x[0].tobytes() for x in found.values()], pa.binary()), pa.array([x[1] for x in found.values()], pa.int64())], names=["component", "v", "n"]
+            )
+
+        for batch in tk.parts(batches):
+            for c, v, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                x = _vectors([v], kind)[0] if kind else np.frombuffer(v, np.float64)
+                if c in found:
+                    found[c][0] = found[c][0] + x
+                    found[c][1] += n
+                else:
+                    if len(found) >= 20_000:
+                        yield out()
+                        found.clear()
+                    found[c] = [x, n]
+        if found:
+            yield out()
 
-    for batch in batches:
-        for c, v, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            x = np.frombuffer(v, np.float64)
-            if c in found:
-                found[c][0] = found[c][0] + x
-                found[c][1] += n
-            else:
-                if len(found) >= 20_000:
-                    yield out()
-                    found.clear()
-                found[c] = [x, n]
-    if found:
-        yield out()
+    return run
 
 
-def _compared(threshold: float):
+def _compared(threshold: float, kind: str):
     """Links between the queries (role 0) and members (role 1) of each block, counted by id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, q_ids, q = None, [], []
-        for batch in batches:
+        for batch in tk.parts(batches):
             keys = list(zip(*(batch.column(k).to_pylist() for k in ("component", "qb", "mb")), strict=True))
             roles, ids, vs, cores = (batch.column(k).to_pylist() for k in ("role", "id", "v", "core"))
             at = 0
@@ -184,7 +199,7 @@ def _compared(threshold: float):
                     end += 1
                 if keys[at] != key:
                     key, q_ids, q = keys[at], [], []
-                block = np.frombuffer(b"".join(vs[at:end]), np.float64).reshape(end - at, -1)
+                block = _vectors(vs[at:end], kind)
                 if roles[at] == 0:
                     q_ids += ids[at:end]
                     q.append(block)
@@ -210,33 +225,35 @@ def near_duplicates(
     non-finite components link with nothing, nor does a null key (component null, not kept).  Of rows with one key the
     smallest label and vector stand for all.  Ties are broken by key; an empty table gives no rows.
     """
+    narrow = vectors.schema[vector].dataType.jsonValue()["elementType"] == "float"
+    kind = "<f4" if narrow else "<f8"
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("grp"), F.col(vector).cast("array<double>").alias("x"))
     whole = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     valid = rows.where(F.col("id").isNotNull() & F.col("grp").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)).where(whole)
-    valid = valid.groupBy("id").agg(F.min(F.struct("grp", "x")).alias("s")).select("id", "s.grp", "s.x", F.size("s.x").alias("dim"))
+    valid = valid.groupBy("id").agg(F.min(F.struct("grp", "x")).alias("s")).select("id", "s.grp", "s.x")
+    valid = written(valid.mapInArrow(_packed(kind), "id long, grp string, dim int, v binary"))
     sort = ["pass", "grp", "dim", "code", "id"]
-    coded = written(valid.mapInArrow(_projected(passes, bits), _ROW))
     found = written(
-        coded.repartitionByRange(*sort).sortWithinPartitions(*sort)
-        .mapInArrow(_neighbours(threshold, window, True), f"kind int, slot int, a long, b long, {_ROW}")
+        valid.mapInArrow(_projected(passes, bits, kind), _ROW).repartitionByRange(*sort).sortWithinPartitions(*sort)
+        .mapInArrow(_neighbours(threshold, window, True, kind), f"kind int, slot int, a long, b long, {_ROW}")
     )
     borders = found.where("kind > 0")
     across = (
         borders.repartition("slot").sortWithinPartitions("slot", *sort)
-        .mapInArrow(_neighbours(threshold, window, False), f"kind int, slot int, a long, b long, {_ROW}")
+        .mapInArrow(_neighbours(threshold, window, False, kind), f"kind int, slot int, a long, b long, {_ROW}")
     )
     groups = components(found.where("kind = 0").select("a", "b").unionByName(across.select("a", "b")))
 
-    members = written(coded.where("pass = 0").select("id", "v").join(groups, "id"))
-    partial = members.select("component", "v", F.lit(1).cast("long").alias("n")).mapInArrow(_sums, "component long, v binary, n long")
-    centres = partial.repartition("component").sortWithinPartitions("component").mapInArrow(_sums, "component long, v binary, n long")
+    members = written(valid.select("id", "v").join(groups, "id"))
+    partial = members.select("component", "v", F.lit(1).cast("long").alias("n")).mapInArrow(_sums(kind), "component long, v binary, n long")
+    centres = partial.repartition("component").sortWithinPartitions("component").mapInArrow(_sums(None), "component long, v binary, n long")
     half = float(np.sqrt((1 + threshold) / 2)) + 1e-9
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tk.parts(batches):
             core = []
             for v, c in zip(batch.column("v").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                x, y = np.frombuffer(v, np.float64), np.frombuffer(c, np.float64)
+                x, y = _vectors([v], kind)[0], np.frombuffer(c, np.float64)
                 core.append(bool(x @ y >= half * np.linalg.norm(y) and y.any()))
             yield pa.RecordBatch.from_arrays([batch.column("component"), batch.column("id"), batch.column("v"), batch.column("n"), pa.array(core, pa.bool_())], names=["component", "id", "v", "n", "core"])
 
@@ -251,7 +268,7 @@ def near_duplicates(
     blocks = queries.unionByName(targets).select("component", "qb", "mb", "role", "id", "v", "core")
     counted = (
         blocks.repartition("component", "qb", "mb").sortWithinPartitions("component", "qb", "mb", "role")
-        .mapInArrow(_compared(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        .mapInArrow(_compared(threshold, kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     )
     own = (
         marked.select("component", "id", "core").join(cores, "component").join(counted, "id", "left")
