@@ -287,10 +287,12 @@ def residual(cells: DataFrame, points: DataFrame, groups: DataFrame, top: int, b
     Within a cell documents lie in buckets of size, so wide that a pair that can link lies in one bucket or in two
     neighbouring ones; large buckets are cut into blocks, and every two blocks meet in a task of their own.
     """
-    of = cells.join(groups, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("component"))
+    starred = F.col("id") == F.col("least.id")
+    of = cells.join(groups, "id", "left").select("token", "id", "n", starred.alias("starred"), F.coalesce("component", "id").alias("component"))
     of = written(of)
-    mixed = of.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x <> y and m > 2").select("token")
-    of = of.join(mixed, "token")
+    mixed = of.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"), F.max("starred").alias("starred"))
+    # Of two members one has compared with the other only if it is the cell's smallest id, which may have been dropped for its size.
+    of = of.join(mixed.where("x <> y and (m > 2 or not starred)").select("token"), "token").drop("starred")
     width = math.log(bottom / top) * 1.000001
     home = of.withColumn("bucket", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")).withColumn("home", F.lit(True))
     guest = home.withColumn("bucket", F.col("bucket") - 1).withColumn("home", F.lit(False))

@@ -77,6 +77,19 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.join_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize(("k", "top"), [(4, 85), (5, 80)])
+def test_jaccard_near_copies_inside_a_long_document(spark, k, top):
+    rng, texts = np.random.RandomState(5), {}
+    for i in range(0, 120, 3):
+        words = [f"g{i}x{j}" for j in rng.permutation(130)]
+        texts[i] = " ".join(words)  # of the smallest id, and too long to link with the two near copies of its beginning
+        texts[i + 1] = " ".join(words[:40])
+        texts[i + 2] = " ".join([*words[:39], "other"])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_groups(df, k=k, top=top).collect()}
+    assert got == {i: i - 1 if i % 3 == 2 else i for i in texts}
+
+
 def test_tree_loses_no_pair():
     h = [np.unique(RNG.randint(0, 1 << 40, n).astype(np.uint64)) for n in RNG.randint(3, 80, 300)]
     h += [np.unique(np.concatenate([x[:-2], RNG.randint(0, 1 << 40, 2).astype(np.uint64)])) for x in h if len(x) > 25]
