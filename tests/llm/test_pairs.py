@@ -189,6 +189,15 @@ def test_planted_passages_are_found_and_nothing_else(spark, planted):
     assert all(len(cut[r["doc_id"]].split()) < len(docs[r["doc_id"]].split()) for r in rows)
 
 
+def test_whole_holder_is_found_between_holders_of_its_halves(spark):
+    rng = np.random.RandomState(4)
+    one, two = list(rng.choice(VOCABULARY, 30)), list(rng.choice(VOCABULARY, 30))
+    rest = lambda: list(rng.choice(VOCABULARY, 40))
+    docs = [one + rest(), two + rest(), one + two + rest(), rest() + one, rest() + two, one + two + rest()]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    assert [(r["doc_id"], r["source_id"]) for r in substring_dedup.passages(df).collect()] == [(5, 2)]
+
+
 def test_substring_odd_rows(spark):
     long = " ".join(RNG.choice(VOCABULARY, 200))
     rows = [(1, long), (2, long), (2, long), (3, None), (4, ""), (None, long), (5, "word " * 3000), (6, "word " * 2000)]
