@@ -198,6 +198,31 @@ def test_whole_holder_is_found_between_holders_of_its_halves(spark):
     assert [(r["doc_id"], r["source_id"]) for r in substring_dedup.passages(df).collect()] == [(5, 2)]
 
 
+@pytest.mark.parametrize("share", [0.1, 0.13, 0.17])
+def test_fuzzy_copies_of_a_passage_all_find_an_earlier_holder(spark, share):
+    rng = np.random.RandomState(3)
+    docs, where = {}, {}
+    for p in range(10):
+        passage = rng.choice(VOCABULARY, 60)
+        for _ in range(12):
+            i, at = len(docs), rng.randint(0, 60)
+            own = np.where(rng.rand(60) < share, rng.choice(VOCABULARY, 60), passage)
+            rest = rng.choice(VOCABULARY, 80)
+            docs[i], where[i] = [*rest[:at], *own, *rest[at:]], (p, at, own)
+    # brute force: two copies hold a passage if some 50 words or more of the planted 60 agree in 80 %
+    want = set()
+    for i, (p, _, x) in where.items():
+        for j in range(i):
+            q, _, y = where[j]
+            same = (x == y) if p == q else np.zeros(60, bool)
+            if any(same[a:b].mean() >= 0.8 for a in range(11) for b in range(a + 50, 61)):
+                want.add(i)
+                break
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(5)
+    got = {r["doc_id"] for r in substring_dedup.passages(df).collect()}
+    assert len(want) > 10 and len(got & want) >= 0.95 * len(want)
+
+
 def test_substring_odd_rows(spark):
     long = " ".join(RNG.choice(VOCABULARY, 200))
     rows = [(1, long), (2, long), (2, long), (3, None), (4, ""), (None, long), (5, "word " * 3000), (6, "word " * 2000)]
