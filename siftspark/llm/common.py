@@ -28,7 +28,34 @@ def written(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/siftspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path:
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def keyed(docs: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows with a column ``name`` that tells them apart: the key, or for rows whose key is null or repeated a number
+    beyond all keys.  Without such rows nothing is copied; with them the rows are written once, so that numbers stay."""
+    keys = docs.groupBy(F.col(key).cast("long").alias("_k")).agg(F.count("*").alias("_n"))
+    odd = written(keys.where("_k is null or _n > 1").select("_k"))
+    if not odd.take(1):
+        forget(odd)
+        return docs.withColumn(name, F.col(key).cast("long"))
+    top = docs.agg(F.max(F.col(key).cast("long"))).first()[0] or 0
+    numbered = written(docs.withColumn(name, F.monotonically_increasing_id() + F.lit(top + 1)))
+    of = odd.select(F.col("_k").alias("_odd_key"))
+    found = numbered.join(of, F.col(key).cast("long").eqNullSafe(F.col("_odd_key")), "left")
+    own = F.when(F.col(key).isNull() | F.col("_odd_key").isNotNull(), F.col(name)).otherwise(F.col(key).cast("long"))
+    return found.withColumn(name, own).drop("_odd_key")
 
 
 def sampled_labels(labels: DataFrame, key: str, label: str, limit: int, where=None) -> tuple[DataFrame, dict]:

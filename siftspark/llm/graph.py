@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import written
+from siftspark.llm.common import forget, written
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -13,30 +13,52 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1] or 0
 
 
+#: An id is a hub from this many neighbours on, or from this share of all links; so there are 2 / SHARE hubs at most.
+HUB, SHARE = 10_000, 1e-5
+
+
+def _to_least(both: DataFrame, least: DataFrame, hubs: list[int]) -> DataFrame:
+    """Each link (a, b) with the least neighbour m of a.  Links of hubs stay where they are and get m by broadcast."""
+    if not hubs:
+        return both.join(least, "a")
+    of = both.sparkSession.createDataFrame([(h,) for h in hubs], "a long")
+    m = F.broadcast(least.join(F.broadcast(of), "a", "left_semi"))
+    return both.join(m, "a").unionByName(both.join(F.broadcast(of), "a", "left_anti").join(least, "a"))
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every id that has a link to another; component is the smallest id reachable.
 
-    ``links`` has long columns a and b.  Every round links each id's larger neighbours to its smallest one, then each id
+    ``links`` has long columns a and b; repeated links and links of an id to itself are allowed, links with a null aren't
+    counted, no links give no rows.  Every round links each id's larger neighbours to its smallest one, then each id
     and its smaller neighbours to the smallest; stars are the fixed point.  Groups are only ever reduced to their minimum,
-    so a hub with any number of links is pre-aggregated before it is shuffled.  Each round is written, not kept.
+    and the links of hubs are joined without moving them.  Each round is written, not kept; rounds that don't end raise.
     """
-    edges = written(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
-    )
+    start = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    edges = written(start.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
     mark = _mark(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        hubs = []
+        if mark[0] >= HUB:
+            many = both.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= max(HUB, int(SHARE * mark[0])))
+            hubs = [r["a"] for r in many.collect()]
+        large = _to_least(both.where("b > a"), least, hubs).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         large = large.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         near = large.join(least, "a")
         small = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        edges = written(small.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
+        before, edges = edges, written(small.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
+        forget(before)
         new = _mark(edges)
         if new == mark:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components are not found after {rounds} rounds")
     found = edges.groupBy("a").agg(F.min("b").alias("b"))
     own = found.groupBy("b").agg(F.lit(1).alias("_")).select(F.col("b").alias("id"), F.col("b").alias("component"))
-    return written(found.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own))
+    out = written(found.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own))
+    forget(edges)
+    return out

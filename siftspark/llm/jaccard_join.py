@@ -5,10 +5,12 @@ powers of two, so that points fold onto fewer groups.  The overlap of two sets i
 minima, which bounds whole boxes of points as well; pairs that survive the boxes and the points are verified on the sets.
 
 One tree over all documents can't be split among machines, so points are first routed to cells without losing a pair: sets
-whose Jaccard index reaches t share a shingle among the first n - ceil(t n) + 1 of either in any common order, and a cell
-holds the documents with one such shingle.  Shingles that are frequent in the input come last in that order.  Equal sets
-are one point, cells of equal members are one cell, and a cell's members are first linked to its smallest id, after which
-the trees only have to look for pairs whose components still differ.
+whose Jaccard index reaches t share e + 1 shingles among the first n - ceil(t n) + 1 + e of either in any common order.
+Shingles that are frequent in the input come last in that order.  A document that shares fewer of these with others has no
+partner; any other one drops its e most shared ones, now that they are counted, and is left with at least one in common with
+each partner.  A cell holds the documents of neighbouring sizes with one such shingle.  Equal sets are one point, cells of
+equal members are one cell, and a cell's members are first linked to its smallest id, after which the trees only have to look
+for pairs whose components still differ.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siftspark.llm import textkit as tk
-from siftspark.llm.common import written
+from siftspark.llm.common import forget, written
 from siftspark.llm.graph import components
 
 #: Shingles per group, about: a set of n shingles is hashed into a power of two of groups, n / SPREAD of them at least.
@@ -33,8 +35,12 @@ LEAST_GROUPS, CELL_GROUPS = 16, 512
 FANOUT = 32
 #: Documents of one cell that one task compares with as many others.
 BLOCK = 1024
+#: Shingles of a prefix of which one more must be shared: one for so many shingles of the set.
+MORE = 20
 #: Frequent shingles that are put last, at most; the order changes the work, never the result.
 FREQUENT = 200_000
+#: Documents of a frequent shingle that one task joins with its counts, about.
+SPLIT = 4096
 #: Bytes of text over which a shingle is counted before it is reported as locally frequent.
 COUNTED = 8 << 20
 #: Ids up to which a set of ids is sent to all executors instead of being shuffled with the texts.
@@ -127,8 +133,9 @@ def _identity(h: np.ndarray, at: np.ndarray, some: np.ndarray) -> tuple[np.ndarr
     return first.view(np.int64), second.view(np.int64)
 
 
-def _prefixed(k: int, top: int, bottom: int, frequent: np.ndarray):
-    """Size, 128-bit identity, routing shingles and point of each document's set."""
+def _prefixed(k: int, top: int, bottom: int, frequent: np.ndarray, seen: np.ndarray):
+    """Size, 128-bit identity, routing shingles (with how often they were seen, if they are frequent) and point of each
+    document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = tk.HashIndex(frequent)
@@ -138,15 +145,19 @@ def _prefixed(k: int, top: int, bottom: int, frequent: np.ndarray):
                 at = np.concatenate([[0], np.cumsum(n)])
                 some = n > 0
                 first, second = _identity(h, at, some)
-                order = np.lexsort((index.find(h) >= 0, doc))  # stable: by hash within either kind
-                need = n - -(-n * top // bottom) + 1
+                found = index.find(h)
+                weight = np.where(found >= 0, seen[found] if len(seen) else 0, 0)
+                order = np.lexsort((weight, doc))  # stable: by hash within equal weights
+                least = -(-n * top // bottom)
+                need = n - least + 1 + np.minimum(n // MORE, np.maximum(least - 1, 0))
                 rank = np.arange(len(h)) - np.repeat(at[:-1], n)
-                kept = h[order][rank < np.repeat(need, n)]
-                cuts = np.concatenate([[0], np.cumsum(np.where(some, need, 0))]).astype(np.int32)
+                first_ones = order[rank < np.repeat(need, n)]
+                cuts = pa.array(np.concatenate([[0], np.cumsum(np.where(some, need, 0))]).astype(np.int32))
+                prefix = pa.StructArray.from_arrays([pa.array(h[first_ones].view(np.int64)), pa.array(weight[first_ones])], names=["token", "weight"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(first), pa.array(second),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(kept.view(np.int64))), pa.array(points_of(doc, h, n), pa.binary()),
+                        pa.ListArray.from_arrays(cuts, prefix), pa.array(points_of(doc, h, n), pa.binary()),
                     ],
                     names=["id", "n", "h1", "h2", "prefix", "v"],
                 )
@@ -194,6 +205,8 @@ def verify(pairs: DataFrame, rows: DataFrame, k: int, top: int, bottom: int, rep
     """The pairs (a, b) whose sets reach the threshold.  Sets are made anew from the texts of the pairs' documents alone; a
     set with many partners is sent to as many tasks as they fill."""
     pairs = written(pairs)
+    if not pairs.take(1):
+        return pairs
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.lit(0).alias("_")).select("id")
     sets = written(of_ids(rows, ids, "id").select("id", "t").mapInArrow(_whole_sets(k), "id long, n long, h1 long, h2 long, s binary"))
     if repeated:
@@ -283,24 +296,13 @@ def _searched(top: int, bottom: int, first: bool):
 
 def residual(cells: DataFrame, points: DataFrame, groups: DataFrame, top: int, bottom: int, first: bool, block: int = BLOCK) -> DataFrame:
     """Candidate pairs (a, b) of cells whose members' components differ; with first, one of each document in a block.
-
-    Within a cell documents lie in buckets of size, so wide that a pair that can link lies in one bucket or in two
-    neighbouring ones; large buckets are cut into blocks, and every two blocks meet in a task of their own.
-    """
-    starred = F.col("id") == F.col("least.id")
-    of = cells.join(groups, "id", "left").select("token", "id", "n", starred.alias("starred"), F.coalesce("component", "id").alias("component"))
-    of = written(of)
-    mixed = of.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"), F.max("starred").alias("starred"))
-    # Of two members one has compared with the other only if it is the cell's smallest id, which may have been dropped for its size.
-    of = of.join(mixed.where("x <> y and (m > 2 or not starred)").select("token"), "token").drop("starred")
-    width = math.log(bottom / top) * 1.000001
-    home = of.withColumn("bucket", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")).withColumn("home", F.lit(True))
-    guest = home.withColumn("bucket", F.col("bucket") - 1).withColumn("home", F.lit(False))
-    placed = written(home.unionByName(guest))
-    size = placed.groupBy("token", "bucket").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"), F.max("home").alias("some"))
-    size = size.where("x <> y and some").select("token", "bucket", F.ceil(F.col("m") / F.lit(block)).cast("int").alias("blocks"))
+    Large cells are cut into blocks, and every two blocks meet in a task of their own."""
+    of = written(cells.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    mixed = of.groupBy("token", "bucket", "split").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
+    mixed = mixed.where("x <> y").select("token", "bucket", "split", F.ceil(F.col("m") / F.lit(block)).cast("int").alias("blocks"))
+    placed = of.join(_salted(mixed), ["token", "bucket", "salt"])
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = placed.join(size, ["token", "bucket"]).withColumn("s", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.withColumn("s", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("s") == F.col("o"), 2).when(F.col("s") < F.col("o"), 0).otherwise(1)
     placed = placed.select("token", "bucket", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "id", "n", "component", "home", side.alias("side"))
     coarse = points.select("id", "v").mapInArrow(_coarse, "id long, v binary")
@@ -308,6 +310,44 @@ def residual(cells: DataFrame, points: DataFrame, groups: DataFrame, top: int, b
     return bounded(rows.mapInArrow(_searched(top, bottom, first), "a long, b long"), points, top, bottom)
 
 
+def _salted(cells: DataFrame) -> DataFrame:
+    """Rows (token, bucket, split, ...) once for each salt, to be joined with rows that carry one of ``split`` salts."""
+    return cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("split") - 1))).drop("split")
+
+
+def routed(alone: DataFrame, top: int, bottom: int) -> DataFrame:
+    """Cells (token, bucket) with their members (id, n, home) and smallest member (least, of ``m``).
+
+    ``alone`` has id, n and prefix.  Two documents that can link meet in a cell of which one of them is at home: buckets of
+    size are so wide that they lie in the same or in neighbouring ones, and each document is a guest in the one below.
+    """
+    rows = alone.select("id", F.col("n").cast("int").alias("n"), F.inline("prefix"))
+    sized = Window.partitionBy("token").orderBy("n")
+    rare = rows.where("weight = 0").select(
+        "id", "n", "token", "weight", F.lag("n").over(sized).alias("below"), F.lead("n").over(sized).alias("above"), F.count("*").over(Window.partitionBy("token")).alias("rank")
+    )
+    # A document with no other of a size that can link shares nothing there.
+    rare = rare.where((F.col("below") * bottom >= F.col("n") * top) | (F.col("n") * bottom >= F.col("above") * top)).drop("below", "above")
+    shared = rare.unionByName(rows.where("weight > 0").withColumn("rank", F.col("weight") + F.lit(1 << 40)))
+    least = F.ceil(F.col("n") * top / bottom)
+    more = F.least(F.floor(least / MORE), F.ceil(least * top / bottom) - 1)
+    by = Window.partitionBy("id")
+    kept = shared.select("*", F.count("*").over(by).alias("all"), F.row_number().over(by.orderBy("rank", "token")).alias("place"))
+    kept = kept.where(F.col("place") <= F.col("all") - more)
+    width = math.log(bottom / top) * 1.000001
+    split = (F.col("weight") / F.lit(SPLIT)).cast("int") + 1
+    bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    home = kept.select("token", bucket.alias("bucket"), split.alias("split"), F.pmod(F.xxhash64("id"), split).cast("int").alias("salt"), "id", "n", F.lit(True).alias("home"))
+    placed = written(home.unionByName(home.withColumn("bucket", F.col("bucket") - 1).withColumn("home", F.lit(False))))
+    cells = placed.groupBy("token", "bucket").agg(
+        F.max("split").alias("split"), F.count("*").alias("m"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id", "home")).alias("mark"), F.max("home").alias("some")
+    )
+    one = cells.where("m > 1 and some").groupBy("m", "least", "mark").agg(F.min(F.struct("token", "bucket", "split")).alias("x")).select("m", "least", "x.*")
+    out = written(placed.join(_salted(one), ["token", "bucket", "salt"]))
+    forget(placed)
+    return out
+
+
 def of_ids(docs: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
     """The rows whose id is among the ids (or isn't): these are sent to all while they are few, shuffled beyond."""
     ids = written(ids)
@@ -320,13 +360,14 @@ def join_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
     Texts link where top/bottom of the union of their sets is shared.  A-Z counts as a-z, words end at ASCII white space; a
     text of fewer than k words is one shingle.  A null text, or one without words, has size 0 and links with nothing; a null
-    key has a null component.  Of rows with one key the least set that is not
-    empty stands for all in linking.  An empty table gives no rows.
+    key has a null component.  Of rows with one key the least set that is not empty stands for all in linking.  A very long
+    text is one set like any other; other columns aren't read, whatever their names.  An empty table gives no rows.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     local = rows.select("t").mapInArrow(_locally_frequent(k), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    frequent = local.where("n >= 20").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()["h"].to_numpy(np.int64).view(np.uint64)
-    sets = written(rows.mapInArrow(_prefixed(k, top, bottom, frequent), "id long, n long, h1 long, h2 long, prefix array<long>, v binary"))
+    often = local.where("n >= 20").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
+    route = _prefixed(k, top, bottom, often["h"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64))
+    sets = written(rows.mapInArrow(route, "id long, n long, h1 long, h2 long, prefix array<struct<token:long,weight:long>>, v binary"))
     full = sets.where("n > 0 and id is not null")
     same = ["n", "h1", "h2"]
     repeated = bool(full.groupBy("id").count().where("count > 1").take(1))
@@ -336,33 +377,42 @@ def join_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     copies = full.join(classes.where("copies > 1"), same).where("id <> rep").select("id")
     alone = of_ids(full, copies, "id", "left_anti")
     points = alone.select("id", "n", "v")
-    by, sized = Window.partitionBy("token"), Window.partitionBy("token").orderBy("n")
-    cells = alone.select("id", "n", F.explode("prefix").alias("token")).select(
-        "token", "id", "n", F.lag("n").over(sized).alias("below"), F.lead("n").over(sized).alias("above"),
-        F.min(F.struct("id", "n")).over(by).alias("least"), F.count("*").over(by).alias("m"), F.bit_xor(F.xxhash64("id", "n")).over(by).alias("mark"),
-    )
-    # A document with no other of a size that can link in its cell has nothing to find there.
-    cells = cells.where((F.col("below") * bottom >= F.col("n") * top) | (F.col("n") * bottom >= F.col("above") * top)).drop("below", "above")
-    cells = written(cells)
-    one = cells.groupBy("m", "least", "mark").agg(F.min("token").alias("token")).select("token")
-    cells = written(cells.join(one, "token"))
-    near = (F.least("n", "least.n") * bottom >= F.greatest("n", "least.n") * top) & (F.col("id") != F.col("least.id"))
-    stars = bounded(cells.where(near).select(F.col("least.id").alias("a"), F.col("id").alias("b")), points, top, bottom)
-    stars = written(verify(stars, rows, k, top, bottom, repeated))
-    groups = components(stars)
-    # Most of what the stars missed joins by one candidate of each document; only then every pair that is left is looked at,
-    # so that a large group of near copies isn't expanded into its pairs.
+    cells = routed(alone, top, bottom)
+    near = F.col("id") != F.col("least")
+    stars = cells.where(near).groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("shared"))
+    both = stars.join(points.select(F.col("id").alias("b"), "n"), "b").join(points.select(F.col("id").alias("a"), F.col("n").alias("m")), "a")
+    stars = written(both.where(F.least("n", "m") * bottom >= F.greatest("n", "m") * top).select("a", "b", "shared"))
+    # Each document is compared with the one that it shares most cells with; the others count where that joined too little.
+    best = stars.groupBy("b").agg(F.max(F.struct("shared", -F.col("a"))).alias("x")).select((-F.col("x.col2")).alias("a"), "b")
+    links = written(verify(bounded(best, points, top, bottom), rows, k, top, bottom, repeated))
+    groups = components(links)
+    named = groups.withColumnRenamed("component", "of")
+    rest = stars.join(named.select(F.col("id").alias("a"), F.col("of").alias("p")), "a", "left").join(named.select(F.col("id").alias("b"), F.col("of").alias("q")), "b", "left")
+    rest = rest.where("coalesce(p, a) <> coalesce(q, b)").select("a", "b")
+    links, groups = _more_links(links, groups, written(verify(bounded(rest, points, top, bottom), rows, k, top, bottom, repeated)))
+    # What the stars missed joins by one candidate of each document first; only then every pair that is left is looked at,
+    # so that a large group of near copies isn't expanded into its pairs.  In a cell of two the star compared them.
+    wide = cells.where("m > 2")
     for first in (True, False):
-        rest = residual(cells.where("m > 2"), points, groups, top, bottom, first)
-        rest = written(verify(rest, rows, k, top, bottom, repeated))
-        if rest.take(1):
-            stars = written(stars.unionByName(rest))
-            groups = components(stars)
+        rest = residual(wide, points, groups, top, bottom, first)
+        links, groups = _more_links(links, groups, written(verify(rest, rows, k, top, bottom, repeated)))
     # Documents of equal sets take their representative's component.
     named = full.join(classes, same).select("id", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("id", F.coalesce("component", "rep").alias("component"))
+    forget(cells, stars, links)
     return sets.join(named, "id", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _more_links(links: DataFrame, groups: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and their components with more links."""
+    if not more.take(1):
+        forget(more)
+        return links, groups
+    both = written(links.unionByName(more))
+    found = components(both)
+    forget(links, more, groups)
+    return both, found
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -18,10 +18,8 @@ SLICE_BYTES = 1 << 18
 #: Rows of an Arrow batch that are turned into Python or copied at once.
 PART_ROWS = 500
 
-_R = np.uint64(0x9E3779B97F4A7C15)
-_R_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SEED = np.random.RandomState(20240607)
-_BYTE = _SEED.randint(0, 1 << 62, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = np.frombuffer(_SEED.bytes(256 * 8), np.uint64).copy()
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 
@@ -32,16 +30,15 @@ NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
-_powers = {}
+_factors: list[np.ndarray] = []
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-        have[0] = 1
-        _powers[base] = have = np.cumprod(have)
-    return have[:n]
+def _factor(n: int) -> np.ndarray:
+    """A pseudo-random odd factor for each of n places in a word.  Unlike powers of one base modulo 2^64, whose sums vanish
+    on some pairs of long words whatever the base, they have no algebraic relation."""
+    if not _factors or len(_factors[0]) < n:
+        _factors[:] = [mix64(np.arange(1, max(n, SLICE_BYTES) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)]
+    return _factors[0][:n]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -103,9 +100,15 @@ class Words:
         self.first = np.searchsorted(self.start, off)  # of each document's words
         self.count = np.diff(self.first)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_BYTE_LOWER if lower else _BYTE)[buf] * _power(_R, n), out=sums[1:])
-        self._sums, self._back = sums, _power(_R_INV, n + 1)[self.start]
-        self.hash = mix64((sums[self.end] - sums[self.start]) * self._back)
+        size = self.end - self.start
+        if len(size):
+            at = np.flatnonzero(inside)  # the bytes of all words, in order
+            place = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+            value = np.zeros(n, np.uint64)
+            value[at] = (_BYTE_LOWER if lower else _BYTE)[buf[at]] * _factor(int(size.max()))[place]
+            np.cumsum(value, out=sums[1:])
+        self._sums = sums
+        self.hash = mix64(sums[self.end] - sums[self.start] + size.astype(np.uint64))
 
     def __len__(self) -> int:
         return len(self.start)
@@ -114,7 +117,7 @@ class Words:
         """Hashes of the words' first bytes, apart from word hashes; 0 for words that are no longer than that."""
         at = self.start + size
         longer = at < self.end
-        return np.where(longer, mix64((self._sums[np.minimum(at, self.end)] - self._sums[self.start]) * self._back + np.uint64(size)), np.uint64(0))
+        return np.where(longer, mix64(self._sums[np.minimum(at, self.end)] - self._sums[self.start] - np.uint64(size)), np.uint64(0))
 
     @property
     def pos(self) -> np.ndarray:
