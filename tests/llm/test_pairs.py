@@ -234,6 +234,27 @@ def test_substring_odd_rows(spark):
     assert substring_dedup.passages(df.limit(0)).count() == 0
 
 
+def test_cut_passages_by_row_and_with_clashing_names(spark):
+    rng = np.random.RandomState(6)
+    long, other = " ".join(rng.choice(VOCABULARY, 200)), " ".join(rng.choice(VOCABULARY, 100))
+    rows = [(1, long, 7), (2, long, 8), (2, other, 9), (3, other + " x " + long, 10)]
+    df = spark.createDataFrame([(i, t, n, n, n) for i, t, n in rows], "doc_id long, text string, _id int, _spans int, _0 int")
+    left = {r["_id"]: r["text"] for r in substring_dedup.cut_passages(df, substring_dedup.passages(df)).collect()}
+    assert set(left) == {7, 9, 10} and left[7] == long and left[9] == other and left[10].split() == [*other.split(), "x"]
+
+
+def test_hot_seeds_and_copies_of_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 4)
+    rng = np.random.RandomState(2)
+    passage = list(rng.choice(VOCABULARY, 70))
+    docs = {i: [*rng.choice(VOCABULARY, 30), *passage, *rng.choice(VOCABULARY, 30)] for i in range(60)}
+    docs |= {i: docs[i % 60] for i in range(60, 90)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(2)
+    rows = {(r["doc_id"], r["source_id"]): r for r in substring_dedup.passages(df).collect()}
+    assert {(i, 0) for i in range(1, 60)} <= set(rows) and {(i, i % 60) for i in range(60, 90)} <= set(rows)
+    assert all(r["start_word"] <= 30 and r["end_word"] >= 100 for r in rows.values())
+
+
 def test_chain_is_the_best_of_all_orders():
     for _ in range(60):
         n = RNG.randint(1, 7)
