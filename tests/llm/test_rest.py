@@ -91,6 +91,23 @@ def test_leaks_are_found_and_clean_documents_left(spark, leaks):
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.25])
+def test_changed_items_are_found(spark, share):
+    rng = np.random.RandomState(17)
+    items = {k: list(rng.choice(WORDS, rng.randint(15, 80))) for k in range(60)}
+    docs = {}
+    for k, words in items.items():
+        changed = rng.permutation(len(words))[: int(share * len(words))]
+        leak = [str(rng.choice(WORDS)) if i in changed else w for i, w in enumerate(words)]
+        own, at = list(rng.choice(WORDS, 150)), rng.randint(0, 100)
+        docs[k] = own[:at] + leak + own[at:]
+    docs |= {i: list(rng.choice(WORDS, 200)) for i in range(60, 160)}
+    df = spark.createDataFrame([(i, " ".join(w), 1, "x") for i, w in docs.items()], "doc_id long, text string, item_id int, _t string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(df, bench).collect()}
+    assert got <= {(k, k) for k in items} and len(got) >= 0.9 * len(items)
+
+
 def test_common_subsequences():
     def plain(a, b):
         best = np.zeros((len(a) + 1, len(b) + 1), int)
