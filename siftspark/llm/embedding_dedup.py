@@ -1,13 +1,15 @@
 """Near-duplicate embeddings by sorted projection passes.
 
-In every pass vectors of a label are ordered by the signs of their random projections and compared with their neighbours
-within a bounded window; pairs that reach the cosine threshold are united across passes.  Links are then counted exactly
+Equal vectors of a label are one.  In every pass vectors of a label are ordered by the signs of their random projections and
+compared with their neighbours within a bounded window; pairs that reach the cosine threshold are united across passes, of
+which there are more the more vectors a label has.  Links are then counted exactly
 inside each united component: vectors within half the threshold's angle of the component's centre are all linked to each
 other without being compared, and the rest are compared with the whole component in blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,15 +20,27 @@ from pyspark.sql import functions as F
 
 from siftspark.llm import textkit as tk
 from siftspark.llm.common import written
-from siftspark.llm.graph import components
+from siftspark.llm.graph import HUB, SHARE, components
 
 THRESHOLD = 0.93
-PASSES = 10
+#: Share of lone pairs at the threshold that the passes are to find.  A pass of this window finds 0.39 of them among 10,000
+#: vectors of a label and 10^0.19 times fewer for each ten times as many (modelled for 64 dimensions up to 10^7 vectors).
+RECALL = 0.995
+FOUND, AMONG, POWER = 0.39, 10_000, 0.19
+LEAST_PASSES = 10
 BITS = 40
 WINDOW = 32
 #: Vectors of a component that one task compares with as many others.
 BLOCK = 2048
 
+
+
+def passes_for(n: int, recall: float = RECALL) -> int:
+    """Passes for a label of n vectors."""
+    once = min(0.9, FOUND * (max(n, 1) / AMONG) ** -POWER)
+    return max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - once)))
+
+
 _ROW = "pass int, grp string, dim int, code long, id long, v binary"
 
 
@@ -185,30 +199,31 @@ def _sums(kind: str | None):
 
 
 def _compared(threshold: float, kind: str):
-    """Links between the queries (role 0) and members (role 1) of each block, counted by id."""
+    """Links between the queries (role 0) and members (role 1) of each block, counted by id; copies count each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, q_ids, q = None, [], []
+        key, q_ids, q, q_many = None, [], [], []
         for batch in tk.parts(batches):
             keys = list(zip(*(batch.column(k).to_pylist() for k in ("component", "qb", "mb")), strict=True))
-            roles, ids, vs, cores = (batch.column(k).to_pylist() for k in ("role", "id", "v", "core"))
+            roles, ids, vs, cores, copies = (batch.column(k).to_pylist() for k in ("role", "id", "v", "core", "copies"))
             at = 0
             while at < len(keys):
                 end = at
                 while end < len(keys) and keys[end] == keys[at] and roles[end] == roles[at]:
                     end += 1
                 if keys[at] != key:
-                    key, q_ids, q = keys[at], [], []
+                    key, q_ids, q, q_many = keys[at], [], [], []
                 block = _vectors(vs[at:end], kind)
                 if roles[at] == 0:
                     q_ids += ids[at:end]
+                    q_many += copies[at:end]
                     q.append(block)
                 elif q:
                     own = np.array(ids[at:end])
                     hit = (np.concatenate(q) @ block.T >= threshold) & (np.array(q_ids)[:, None] != own)
                     core = np.array(cores[at:end])
                     who = np.concatenate([q_ids, own[core]])
-                    n = np.concatenate([hit.sum(axis=1), hit.sum(axis=0)[core]])
+                    n = np.concatenate([hit @ np.array(copies[at:end], np.int64), (np.array(q_many, np.int64) @ hit)[core]])
                     yield pa.RecordBatch.from_arrays([pa.array(who[n > 0], pa.int64()), pa.array(n[n > 0], pa.int64())], names=["id", "n"])
                 at = end
 
@@ -217,13 +232,14 @@ def _compared(threshold: float, kind: str):
 
 def near_duplicates(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-    threshold: float = THRESHOLD, passes: int = PASSES, bits: int = BITS, window: int = WINDOW, block: int = BLOCK,
+    threshold: float = THRESHOLD, passes: int | None = None, bits: int = BITS, window: int = WINDOW, block: int = BLOCK,
 ) -> DataFrame:
     """One row per input row: links of its vector, its component (smallest key) and whether it is the one to keep.
 
     Only vectors of equal, non-null label and equal length are compared.  Vectors that are null, empty, zero or hold null or
     non-finite components link with nothing, nor does a null key (component null, not kept).  Of rows with one key the
-    smallest label and vector stand for all.  Ties are broken by key; an empty table gives no rows.
+    smallest label and vector stand for all.  Ties are broken by key; other columns aren't read, whatever their names; an
+    empty table gives no rows.
     """
     narrow = vectors.schema[vector].dataType.jsonValue()["elementType"] == "float"
     kind = "<f4" if narrow else "<f8"
@@ -231,10 +247,14 @@ def near_duplicates(
     whole = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     valid = rows.where(F.col("id").isNotNull() & F.col("grp").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)).where(whole)
     valid = valid.groupBy("id").agg(F.min(F.struct("grp", "x")).alias("s")).select("id", "s.grp", "s.x")
-    valid = written(valid.mapInArrow(_packed(kind), "id long, grp string, dim int, v binary"))
+    single = written(valid.mapInArrow(_packed(kind), "id long, grp string, dim int, v binary"))
+    valid = written(single.groupBy("grp", "dim", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    if passes is None:
+        passes = passes_for(valid.groupBy("grp").count().agg(F.max("count")).first()[0] or 0)
+    places = valid.select("id", "grp", "dim", "v")
     sort = ["pass", "grp", "dim", "code", "id"]
     found = written(
-        valid.mapInArrow(_projected(passes, bits, kind), _ROW).repartitionByRange(*sort).sortWithinPartitions(*sort)
+        places.mapInArrow(_projected(passes, bits, kind), _ROW).repartitionByRange(*sort).sortWithinPartitions(*sort)
         .mapInArrow(_neighbours(threshold, window, True, kind), f"kind int, slot int, a long, b long, {_ROW}")
     )
     borders = found.where("kind > 0")
@@ -244,7 +264,7 @@ def near_duplicates(
     )
     groups = components(found.where("kind = 0").select("a", "b").unionByName(across.select("a", "b")))
 
-    members = written(valid.select("id", "v").join(groups, "id"))
+    members = written(valid.select("id", "v", "copies").join(groups, "id"))
     partial = members.select("component", "v", F.lit(1).cast("long").alias("n")).mapInArrow(_sums(kind), "component long, v binary, n long")
     centres = partial.repartition("component").sortWithinPartitions("component").mapInArrow(_sums(None), "component long, v binary, n long")
     half = float(np.sqrt((1 + threshold) / 2)) + 1e-9
@@ -255,25 +275,35 @@ def near_duplicates(
             for v, c in zip(batch.column("v").to_pylist(), batch.column("c").to_pylist(), strict=True):
                 x, y = _vectors([v], kind)[0], np.frombuffer(c, np.float64)
                 core.append(bool(x @ y >= half * np.linalg.norm(y) and y.any()))
-            yield pa.RecordBatch.from_arrays([batch.column("component"), batch.column("id"), batch.column("v"), batch.column("n"), pa.array(core, pa.bool_())], names=["component", "id", "v", "n", "core"])
-
-    centres = centres.select("component", F.col("v").alias("c"), "n")
-    marked = written(members.join(centres, "component").select("component", "id", "v", "n", "c").mapInArrow(mark, "component long, id long, v binary, n long, core boolean"))
-    cores = marked.groupBy("component").agg(F.sum(F.col("core").cast("long")).alias("cores"), F.sum((~F.col("core")).cast("long")).alias("others"))
+            yield pa.RecordBatch.from_arrays([batch.column("component"), batch.column("id"), batch.column("v"), batch.column("n"), batch.column("copies"), pa.array(core, pa.bool_())], names=["component", "id", "v", "n", "copies", "core"])
+
+    centres = written(centres.select("component", F.col("v").alias("c"), "n"))
+    # The members of a large component stay where they are; there are 1 / SHARE of these, at most.
+    large = max(HUB, int(SHARE * (centres.agg(F.sum("n")).first()[0] or 0)))
+    few = centres.where(F.col("n") >= large)
+    centred = members.join(F.broadcast(few), "component").unionByName(
+        members.join(F.broadcast(few.select("component")), "component", "left_anti").join(centres.where(F.col("n") < large), "component")
+    )
+    marked = centred.select("component", "id", "v", "n", "copies", "c").mapInArrow(mark, "component long, id long, v binary, n long, copies long, core boolean")
+    marked = written(marked)
+    cores = marked.groupBy("component").agg(F.sum(F.when(F.col("core"), F.col("copies")).otherwise(0)).alias("cores"), F.sum((~F.col("core")).cast("long")).alias("others"))
     open_ = marked.join(cores.where("others > 0"), "component")
     place = lambda n: F.pmod(F.xxhash64("id"), F.ceil(n / F.lit(block))).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), (F.ceil(n / F.lit(block)) - 1).cast("int")))
     queries = open_.where("not core").withColumn("qb", place(F.col("others"))).withColumn("mb", span(F.col("n"))).withColumn("role", F.lit(0))
     targets = open_.withColumn("mb", place(F.col("n"))).withColumn("qb", span(F.col("others"))).withColumn("role", F.lit(1))
-    blocks = queries.unionByName(targets).select("component", "qb", "mb", "role", "id", "v", "core")
+    blocks = queries.unionByName(targets).select("component", "qb", "mb", "role", "id", "v", "core", "copies")
     counted = (
         blocks.repartition("component", "qb", "mb").sortWithinPartitions("component", "qb", "mb", "role")
         .mapInArrow(_compared(threshold, kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     )
     own = (
-        marked.select("component", "id", "core").join(cores, "component").join(counted, "id", "left")
-        .select("id", "component", (F.when(F.col("core"), F.col("cores") - 1).otherwise(0) + F.coalesce("n", F.lit(0))).alias("n_links"))
+        marked.select("component", "id", "core", "copies").join(cores, "component").join(counted, "id", "left")
+        .select(F.col("id").alias("rep"), "component", (F.when(F.col("core"), F.col("cores") - 1).otherwise(F.col("copies") - 1) + F.coalesce("n", F.lit(0))).alias("n_links"))
     )
+    classes = valid.select(F.col("id").alias("rep"), "grp", "dim", "v", (F.col("copies") - 1).alias("others"))
+    own = single.join(classes, ["grp", "dim", "v"]).select("id", "rep", "others").join(own, "rep", "left")
+    own = own.select("id", F.coalesce("n_links", "others").alias("n_links"), F.coalesce("component", "rep").alias("component"))
     # A component is closed under links, so its smallest key is reachable; vectors of a component are all linked into it.
     return (
         rows.select("id").join(own, "id", "left")

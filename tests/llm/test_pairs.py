@@ -153,6 +153,32 @@ def test_small_blocks_count_the_same(spark):
     assert [got[i] for i in range(150)] == near.sum(axis=1).tolist()
 
 
+def test_equal_vectors_count_each(spark):
+    rng = np.random.RandomState(9)
+    one = rng.standard_normal(24)
+    other, far = one + rng.standard_normal(24) * 0.15, rng.standard_normal(24)
+    rows = [(i, [float(v) for v in (one, one, one, other, other, far, far)[i]], 0, 5) for i in range(7)] + [(7, [float(v) for v in one], 1, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, id int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {i: (4, 0, i == 0) for i in range(5)} | {5: (1, 5, True), 6: (1, 5, False), 7: (0, 7, True)}
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_passes_find_the_pairs_near_the_threshold(spark, n):
+    rng = np.random.RandomState(n)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pairs = 400
+    side = rng.standard_normal((pairs, 64))
+    side -= (side * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x[pairs : 2 * pairs] = 0.935 * x[:pairs] + np.sqrt(1 - 0.935**2) * side
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").selectExpr("*", "0 as label")
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert np.mean([got[pairs + i] == i for i in range(pairs)]) >= 0.98
+    assert all(got[i] == i for i in range(2 * pairs, n))
+
+
 @pytest.fixture(scope="module")
 def planted():
     passages = [list(RNG.choice(VOCABULARY, n)) for n in (55, 80, 160)]
