@@ -2,11 +2,13 @@
 
 Bounded-space online best fit: a fixed number of open bins, found through a bitset keyed by free space; a piece goes to
 the bin with the least free space that still holds it, and when too many bins are open the fullest closes first.
-Within a run of documents the pieces are placed longest first, which leaves fewer gaps.  Each task packs the rows it reads, in the order it reads them, so that a task run again gives the same sequences.
+Pieces are placed as they come.  Each task packs the rows it reads, in the order it reads them, so that a task run again
+gives the same sequences.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 LENGTH = 1024
 END = 2
 OPEN_BINS = 1024
-#: Documents whose pieces are sorted before they are placed.
+#: Documents whose pieces form a batch of the result.
 RUN = 1000
 
 #: The byte-level vocabulary's cuts of a text; a fixed value.
@@ -62,6 +64,8 @@ class Encoder:
         import tiktoken
 
         byte_of = _byte_of()
+        if not self._merges_in_order():
+            return None
         vocabulary = {w: i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if i not in added}
         if not all(c in byte_of for w in vocabulary for c in w):
             return None
@@ -69,6 +73,12 @@ class Encoder:
         fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         return fast if fast.encode_ordinary(self.PROBE) == self._plain(self.PROBE) else None
 
+    def _merges_in_order(self) -> bool:
+        """Each merge makes a token of its own, and later merges make later ids: the earliest merge is the least rank."""
+        model = json.loads(self.tokenizer.to_str())["model"]
+        made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model.get("merges", [])]
+        return bool(made) and min(made) >= 0 and all(a < b for a, b in zip(made[:-1], made[1:], strict=True))
+
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -130,7 +140,8 @@ def pack(
     """One row a piece of a document: where its ids start in the document, and its sequence and offset there.
 
     A null text counts as empty: its document is the end id alone.  Documents longer than ``size`` are cut, others never
-    are; repeated rows are packed each; a null key stays null.  An empty table gives no rows.
+    are; repeated rows are packed each; a null key stays null; other columns aren't read, whatever their names.  An empty
+    table gives no rows.
     """
     tail = end.to_bytes(4, "little")
 
@@ -145,7 +156,6 @@ def pack(
                     ids = encoder.encode(texts[i].as_py() or "") + tail
                     for k, (start, length) in enumerate(pieces(len(ids) // 4, size)):
                         found.append((-length, i, k, start, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-                found.sort()
                 placed = [bins.place(-x[0]) for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [
