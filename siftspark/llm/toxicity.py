@@ -1,8 +1,8 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Token weights are log-odds between toxic and clean labelled documents with an informative Dirichlet prior (the counts of
-both together), kept where they are significant; a word without a weight of its own takes its longest weighted prefix's,
-so that inflected forms count.  A linear-time scan finds every maximal segment of each text; segment
+both together), of either sign, kept where they are significant; a word without a weight of its own takes its longest
+weighted prefix's, so that inflected forms count, and what has neither takes a small constant from a segment.  A linear-time scan finds every maximal segment of each text; segment
 scores are put on the extreme-value scale of clean text (lambda solves sum p exp(lambda s) = 1, K is fitted by moments),
 and a document's evidence is turned into a probability by a logistic curve over the same labelled sample.
 """
@@ -18,14 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.llm import textkit as tk
-from siftspark.llm.common import crc_mod, prior_shift, sampled_labels
+from siftspark.llm.common import crc_mod, prior_shift, sampled_labels, written
 
 #: Labelled documents of either class that the weights are learned from, at most.
 SAMPLE = 6000
-#: Words that the model keeps, at most, those of the largest z first.
-WORDS = 4096
+#: Root of the likelihood ratio from which a word's log-odds are significant.
 Z = 4.0
-#: Log-odds from which a word counts, and a prefix, whose other continuations may be harmless.
+#: Log-odds from which a word speaks for toxicity, and a prefix, whose other continuations may be harmless.
 WORD_ODDS, PREFIX_ODDS = 2.0, 3.0
 #: Bytes of the prefixes that words back off to, the longest first.
 PREFIXES = (8, 7, 6, 5, 4)
@@ -159,11 +158,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .join(F.broadcast(rows), "_k")
         .select("_k", "_t", (F.col("_y") > 0).cast("int").alias("_y"))
     )
-    # Copies of one document are one observation: of documents that share a least shingle hash, the first is kept.
-    kept = labelled.mapInArrow(_least_shingles, "_k long, a long, b long")
-    for column in ("a", "b"):
-        kept = kept.groupBy(column).agg(F.min(F.struct("_k", "a", "b")).alias("s")).select("s.*")
-    train = labelled.join(F.broadcast(kept.select("_k")), "_k", "left_semi").select("_t", "_y")
+    # Copies of one document are one observation: of documents of equal least shingle hashes the first is kept.
+    kept = labelled.mapInArrow(_least_shingles, "_k long, a long, b long").groupBy("a", "b").agg(F.min("_k").alias("_k"))
+    train = written(labelled.join(F.broadcast(kept.select("_k")), "_k", "left_semi").select("_t", "_y"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,19 +184,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sums = words.where("kind = 0").agg(F.sum("toxic"), F.sum("clean")).first()
     if not sums or not sums[0] or not sums[1]:
         return Model(np.zeros(0, np.uint64), np.zeros(0))
-    # Words seen fewer than five times reach no significant weight; they count in the totals all the same.
+    # The words of the bounded sample; one that stands in a single document is no evidence.
     n_toxic, n_clean = float(sums[0]), float(sums[1])
-    lead = (F.col("toxic") / n_toxic - F.col("clean") / n_clean) / F.sqrt(F.col("toxic") / n_toxic**2 + F.col("clean") / n_clean**2)
-    got = words.where("toxic >= 5").orderBy(F.desc(lead), "kind", "w").limit(WORDS).toPandas()
+    got = words.where("toxic + clean > 1").orderBy("kind", "w").toPandas()
     toxic, clean = got["toxic"].to_numpy(float), got["clean"].to_numpy(float)
     delta, z = log_odds(toxic, clean, n_toxic, n_clean)
     hashes = got["w"].to_numpy(np.int64).view(np.uint64)
-    # Only words that speak for toxicity raise a segment; the others count as drift.
-    keep = (z >= Z) & (delta > np.where(got["kind"] == 0, WORD_ODDS, PREFIX_ODDS))
+    plain = got["kind"].to_numpy() == 0
+    keep = ((z >= Z) & (delta > np.where(plain, WORD_ODDS, PREFIX_ODDS))) | (plain & (z <= -Z) & (delta < -DRIFT))
     model = Model(hashes[keep], delta[keep])
-    own = keep & (got["kind"].to_numpy() == 0)
-    share = np.where(own[keep], clean[keep] / n_clean, 0.0)
-    model.lam = fit_lambda(np.append(model.weights, -DRIFT), np.append(np.maximum(share, 1e-7), 1 - share.sum()))
+    share = np.where(plain[keep], clean[keep] / n_clean, 0.0)
+    model.lam = fit_lambda(np.append(model.weights, -DRIFT), np.append(np.maximum(share, 1e-7), max(1 - share.sum(), 1e-7)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = tk.HashIndex(model.hashes)
@@ -224,8 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Score, decision and significant passages (as word ranges) of every row.
 
-    A null or empty text has no passage and the curve's lowest evidence.  Repeated rows are scored each; a null key stays
-    null; an empty table gives no rows.
+    A null or empty text has no passage and the curve's lowest evidence; a very long one is scored whole.  Repeated rows are
+    scored each; a null key stays null; other columns aren't read, whatever their names; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +243,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose text isn't judged toxic, with all their columns."""
+    """The rows whose text isn't judged toxic, with all their columns, whatever their names.  Null and empty texts hold no
+    passage; repeated rows are judged each, null keys too; an empty table gives no rows."""
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
