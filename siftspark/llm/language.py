@@ -167,7 +167,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                     names=["lang", "w", "n"],
                 )
 
-    got = train.mapInArrow(count, "lang string, w long, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
+    got = train.mapInArrow(count, "lang string, w long, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(got["lang"].unique().tolist())
     at = {x: i for i, x in enumerate(languages)}
     return grow(languages, got["lang"].map(at).to_numpy(np.int64), got["w"].to_numpy(np.int64).astype(np.uint64), got["n"].to_numpy(float), order)
@@ -175,8 +175,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """The language of every row's whole text, and its share of probability among the learned ones (bits a byte, over 64
-    bytes at most).  Null, or without a letter: ``und`` and 0.  Ties go to the first language by name; repeated rows are
-    scored each; an empty table gives no rows."""
+    bytes at most).  Null, empty, or without a letter: ``und`` and 0.  Ties go to the first language by name; very long texts
+    are coded whole; repeated rows are scored each; a null key stays null; other columns aren't read, whatever their names;
+    an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(model)
