@@ -1,9 +1,9 @@
 """License scans with a positional rare-token index.
 
 Templates (whole phrases and license notices) are indexed by their rarest words, with each word's place in the template.
-A file's licence words of highest IDF look up postings; postings that agree on where the template would start are
-intersected, and a hit counts when enough of the template's words stand at their places and every mandatory key phrase
-stands there whole.  Document frequencies of the licence words are counted over all documents.
+A file's licence words of highest IDF look up postings; these are intersected by where the template would start: as many
+anchors must agree on it as can't all be wrong in a hit.  A hit counts when enough of the template's words stand at their
+places and every mandatory key phrase stands there whole.  Document frequencies of the licence words are counted over all documents.
 """
 
 from __future__ import annotations
@@ -39,6 +39,45 @@ NOTICES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["use copy modify and or distribute"]),
     ("lgpl", "gnu lesser general public license", ["lesser general public license"]),
     ("mit-notice", "permission is hereby granted free of charge to any person obtaining a copy of this software", ["permission is hereby granted free of charge"]),
+    (
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        ["permission is hereby granted free of charge", "shall be included in all copies or substantial portions"],
+    ),
+    (
+        "apache-2.0-header",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        ["apache license version 2 0", "in compliance with the license"],
+    ),
+    (
+        "gpl-header",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        ["gnu general public license", "free software foundation"],
+    ),
+    (
+        "bsd-text",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form "
+        "must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        ["must retain the above copyright notice", "must reproduce the above copyright notice"],
+    ),
+    (
+        "mpl-2.0-header",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
+        ["mozilla public license v 2 0"],
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software",
+        ["free and unencumbered software released into the public domain"],
+    ),
+    (
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+        ["including commercial applications and to alter it and redistribute it freely"],
+    ),
     ("mit-release", "released under the mit license", ["the mit license"]),
     ("mpl-2.0", "mozilla public license version 2 0", ["mozilla public license"]),
 ]
@@ -74,6 +113,12 @@ class Templates:
             # one anchor is enough for a phrase that must stand whole; a notice that may lose words gets several
             rarest = sorted(set(words.tolist()), key=lambda w: (-self.idf[w], w))[: 1 if t < self.n_base else rare]
             post += [(w, t, i) for i, w in enumerate(words.tolist()) if w in rarest]
+        # Anchors that must agree on a place: as many as can't all be wrong while enough of the template's weight stands.
+        self.need = np.ones(len(self.words), np.int64)
+        for t, words in enumerate(self.words):
+            weight = np.sort(self.idf[[w for w, u, _ in post if u == t]])
+            spare = 0.0 if t < self.n_base else (1 - SHARE) * self.idf[words].sum() + 1e-9
+            self.need[t] = max(1, len(weight) - int(np.searchsorted(np.cumsum(weight), spare, "right")))
         post.sort()
         self.post_word, self.post_template, self.post_place = (np.array(x, np.int64) for x in zip(*post, strict=True))
         self.post_at = np.searchsorted(self.post_word, np.arange(len(self.vocabulary) + 1))
@@ -93,7 +138,8 @@ class Templates:
         of = doc[found[which]]
         length = np.array([len(w) for w in self.words])[template]
         inside = (start >= first[of]) & (start + length <= end[of])
-        cases = np.unique(np.stack([template[inside], of[inside], start[inside]]), axis=1)
+        cases, agree = np.unique(np.stack([template[inside], of[inside], start[inside]]), axis=1, return_counts=True)
+        cases = cases[:, agree >= self.need[cases[0]]]
         kept, shares = [], []
         for t in np.unique(cases[0]):
             mine = cases[:, cases[0] == t]
@@ -133,7 +179,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", base=BASE, no
     """License labels of every row, from its whole text.
 
     A null or empty text has no words and no labels (empty strings), null places and score 0.  Repeated rows are scanned
-    each; an empty table gives no rows.  The score is 1 for a base phrase, else the best share of a notice's IDF in place.
+    each, very long texts whole; a null key stays null; other columns aren't read, whatever their names; an empty table gives
+    no rows.  The score is 1 for a base phrase, else the best share of a notice's IDF in place.
     """
     plain = Templates(base, notices)
     rows, df = document_frequencies(docs, text, plain.vocabulary)
