@@ -9,39 +9,62 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siftspark.llm import decontamination, jaccard_join, packing, substring_dedup, toxicity
-from siftspark.llm.common import written
+from siftspark.llm.common import keyed, written
+
+
+def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column that tells rows apart, so that rows of a repeated or null key are judged each, and its name."""
+    name = next(f"_row{n}" for n in range(10_000) if f"_row{n}" not in docs.columns)
+    return keyed(docs, "doc_id", name), name
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are judged toxic go; rows with a null key are judged by their own text too."""
+    """Documents that are judged toxic go.
+
+    Every row is judged by its own text, those of null and repeated keys too; null and empty texts stay.  Extra columns may
+    have any names; an empty table stays empty, and without labels all stay."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the document of the smallest key stays."""
-    groups = jaccard_join.join_groups(docs, k=5, top=80)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = jaccard_join.of_ids(docs, gone, "doc_id", "left_anti").select(docs.columns)
-    return kept
+    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the document of the smallest key stays.
+
+    Rows of a null or repeated key are documents of their own, after all others in order; of equal ones one stays.  Null and
+    empty texts are near nothing and stay.  Extra columns may have any names; an empty table stays empty."""
+    rows, row = _rows(docs)
+    groups = jaccard_join.join_groups(rows, key=row, k=5, top=80)
+    gone = groups.where(F.col("component_id") != F.col(row)).select(row)
+    return jaccard_join.of_ids(rows, gone, row, "left_anti").select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand in an earlier document are cut out; a document of which nothing remains goes."""
-    found = written(substring_dedup.passages(docs))
-    return substring_dedup.cut_passages(docs, found)
+    """Passages that stand in an earlier document are cut out; a document of which nothing remains goes.
+
+    Every row is a document, those of null and repeated keys too (after all others in order); null and empty texts stay.
+    Extra columns may have any names; an empty table stays empty."""
+    rows, row = _rows(docs)
+    found = written(substring_dedup.passages(rows, key=row))
+    return substring_dedup.cut_passages(rows, found, key=row).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return jaccard_join.of_ids(docs, found.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold a benchmark item go.
+
+    Every row is judged by its own text, those of null and repeated keys too; null and empty texts stay.  Extra columns may
+    have any names; an empty table stays empty, and without items all stay."""
+    rows, row = _rows(docs)
+    found = decontamination.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key=row)
+    gone = found.select(F.col("doc_id").alias(row)).distinct()
+    return jaccard_join.of_ids(rows, gone, row, "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokenised documents as pieces of packed sequences."""
+    """The tokenised documents as pieces of packed sequences.  Every row is packed; a null text counts as empty and a null key
+    stays null; an empty table gives no rows."""
     return packing.pack(docs, packing.tokenizer_path())
 
 
