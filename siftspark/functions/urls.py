@@ -160,3 +160,34 @@ def strict_key(values: pd.Series) -> pd.Series:
         return "".join(c.lower() if "A" <= c <= "Z" else c for c in text).replace("_", "").replace("-", "")
 
     return values.map(one, na_action="ignore")
+
+
+def security_path(path: Column) -> Column:
+    """A path decoded once and strictly, without empty and dot parts; null for a bad encoding, a NUL or a backslash."""
+    strict = ~path.rlike("%(?![0-9A-Fa-f]{2})")
+    decoded = F.when(strict, F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))))
+    step = lambda kept, p: F.when(p.isin("", "."), kept).when(p == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(p)))
+    parts = F.aggregate(F.split(decoded, "/"), F.array().cast("array<string>"), step)
+    return F.when(~decoded.rlike(r"[\x00\\\\]") & ~decoded.contains("\ufffd"), F.concat(F.lit("/"), F.array_join(parts, "/")))
+
+
+def http_allowed(url: Column, exceptions: Column) -> Column:
+    """Whether a reviewed exception (host, port, path_prefix) covers a plain HTTP address."""
+    path = security_path(F.when(part(url, 3) == "", "/").otherwise(part(url, 3)))
+    covers = lambda e: (e["host"] == host(url)) & (e["port"] == port(url)) & path.startswith(security_path(e["path_prefix"]))
+    return F.coalesce(F.exists(exceptions, covers), F.lit(False))
+
+
+def same_repository_path(url: Column, repository: Column, revision: Column, raw_host: str, page_host: str) -> Column:
+    """The path inside a repository (owner/name) at a revision that an address leads to; null if it leads elsewhere."""
+    parts = F.filter(F.split(F.try_url_decode(F.replace(part(url, 3), F.lit("+"), F.lit("%2B"))), "/"), lambda p: p != "")
+    owned = F.array_join(F.slice(parts, 1, 2), "/") == repository
+    raw = (host(url) == raw_host) & owned & (F.get(parts, F.lit(2)) == revision) & (F.size(parts) >= 4)
+    page = (host(url) == page_host) & owned & F.get(parts, F.lit(2)).isin("blob", "raw") & (F.get(parts, F.lit(3)) == revision) & (F.size(parts) >= 5)
+    rest = F.when(raw, F.slice(parts, 4, F.size(parts))).when(page, F.slice(parts, 5, F.size(parts)))
+    return F.when(~F.exists(rest, lambda p: p.isin(".", "..")), F.array_join(rest, "/"))
+
+
+def other_release(url: Column, release: Column) -> Column:
+    """A link into a release, turned to another one; a link elsewhere stays."""
+    return F.regexp_replace(url, F.lit("/releases/g[0-9]{8}/"), F.concat(F.lit("/releases/"), release, F.lit("/")))

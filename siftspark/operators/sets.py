@@ -44,3 +44,9 @@ def closure_mismatch(declared: DataFrame, actual: DataFrame, key: str, value: st
     a = actual.select(key, F.col(value).alias("_a"), F.lit(True).alias("_in_a"))
     rule = F.when(F.col("_in_a").isNull(), "missing").when(F.col("_in_d").isNull(), "undeclared").when(~F.col("_d").eqNullSafe(F.col("_a")), "changed")
     return d.join(a, key, "full_outer").select(key, rule.alias("rule")).where("rule is not null")
+
+
+def class_members(df: DataFrame, key: list[str], member: str, name: str) -> DataFrame:
+    """Members of classes of equal key with more than one row: the class's least member and its size, never its pairs."""
+    classes = df.groupBy(*key).agg(F.min(member).alias(name), F.count("*").alias("n")).where("n > 1")
+    return df.join(classes, key).select(member, name, "n")

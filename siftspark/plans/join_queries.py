@@ -108,12 +108,11 @@ def denylist_semi_join_or(spark, sf_dir):
 
 @query(
     "hash_target_join",
-    "WITH h AS (SELECT doc_id, source, sha256(text) AS target_hash FROM documents) SELECT a.doc_id, b.doc_id AS entity FROM h a JOIN h b ON a.target_hash = b.target_hash AND a.source = b.source AND a.doc_id > b.doc_id",
+    "WITH h AS (SELECT doc_id, source, sha256(text) AS target_hash FROM documents), g AS (SELECT source, target_hash, min(doc_id) AS entity, count(*) AS n FROM h WHERE target_hash IS NOT NULL GROUP BY ALL HAVING count(*) > 1) SELECT doc_id, entity, n FROM h JOIN g USING (source, target_hash)",
 )
 def hash_target_join(spark, sf_dir):
     h = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("target_hash"))
-    published = h.select(F.col("doc_id").alias("entity"), "source", "target_hash")
-    return h.join(published, ["source", "target_hash"]).where("doc_id > entity").select("doc_id", "entity")
+    return sets.class_members(h, ["source", "target_hash"], "doc_id", "entity")
 
 
 @query(
@@ -189,7 +188,7 @@ def manifest_closure_diff(spark, sf_dir):
 
 @query(
     "rebuild_equality",
-    f"WITH {OBSERVATIONS} SELECT (SELECT count(DISTINCT (entity_id, day)) FROM obs WHERE technical_status = 'healthy') AS winners, 0 AS differences",
+    f"WITH {OBSERVATIONS} SELECT (SELECT count(DISTINCT (entity_id, day)) FROM obs WHERE technical_status = 'healthy') AS winners, (SELECT CAST(count(*) AS INTEGER) FROM (SELECT arg_min(event_id, {{'a': -score, 'b': latency, 'c': event_id}}) AS e FROM obs WHERE technical_status = 'healthy' GROUP BY entity_id, day) w WHERE e NOT IN (SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY entity_id, day ORDER BY -score, latency, event_id) AS r FROM obs WHERE technical_status = 'healthy') WHERE r = 1)) AS differences",
 )
 def rebuild_equality(spark, sf_dir):
     obs = observations(spark, sf_dir).where("technical_status = 'healthy'")
