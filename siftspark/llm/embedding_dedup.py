@@ -312,5 +312,14 @@ def near_duplicates(
     )
 
 
+#: The same by comparing all pairs of a label.
+ORACLE = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+f AS (SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+l AS (SELECT a.vec_id AS p, b.vec_id AS q FROM f a JOIN f b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r(id, m) AS (SELECT vec_id, vec_id FROM f UNION SELECT l.q, r.m FROM r JOIN l ON l.p = r.id)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(c, e.vec_id) AS component_id, coalesce(coalesce(c, e.vec_id) = e.vec_id, false) AS kept
+FROM embeddings e LEFT JOIN (SELECT p, count(*) AS n FROM l GROUP BY p) ON p = e.vec_id LEFT JOIN (SELECT id, min(m) AS c FROM r GROUP BY id) ON id = e.vec_id"""
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -414,5 +414,14 @@ def _more_links(links: DataFrame, groups: DataFrame, more: DataFrame) -> tuple[D
     return both, found
 
 
+#: The same by comparing all pairs that share a shingle.
+ORACLE = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS sh FROM d),
+e AS (SELECT doc_id, unnest(sh) AS h FROM s), p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * n >= 85 * (len(a.sh) + len(b.sh) - n)), g AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(id, m) AS (SELECT doc_id, doc_id FROM s UNION SELECT g.y, r.m FROM r JOIN g ON g.x = r.id)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c AS component_id FROM s LEFT JOIN (SELECT id, min(m) AS c FROM r GROUP BY id) ON id = s.doc_id"""
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))

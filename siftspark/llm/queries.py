@@ -17,4 +17,4 @@ QUERIES = {
     "op10_licenses": licenses.op10_licenses,
 }
 
-ORACLES = {"op8_url_filters": url_filters.ORACLE}
+ORACLES = {"op3_embedding_dedup": embedding_dedup.ORACLE, "op5_jaccard_join": jaccard_join.ORACLE, "op8_url_filters": url_filters.ORACLE}
