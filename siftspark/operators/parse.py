@@ -112,26 +112,56 @@ def maccms_xml(text: Column) -> Column:
     return F.from_xml(safe, _XML, {"rowTag": "rss", "mode": "PERMISSIVE"})
 
 
+#: Packet sizes of transport streams, with where the first sync byte lies; box types that a media file may begin with; fixed
+#: values.
+PACKETS = {"ts": (188, 0), "m2ts": (192, 4), "ts_fec": (204, 0)}
+BOXES = (b"ftyp", b"styp", b"moof", b"mdat", b"sidx", b"free", b"skip", b"emsg", b"prft")
+
+
+def _field(data: bytes, bits: int, low: int, size: int) -> int:
+    """``size`` bits from bit ``low`` up of the big-endian number that the first ``bits`` bits of the data are."""
+    return int.from_bytes(data[: bits // 8]) >> low & (1 << size) - 1
+
+
+def _packets(b: bytes, size: int, first: int) -> bool:
+    """Up to three whole packets with a sync byte, no transport error and a payload or an adaptation field."""
+    heads = [b[at : at + 4] for at in range(first, len(b) - size + 1, size)][:3]
+    return bool(heads) and all(_field(h, 32, 24, 8) == 0x47 and not _field(h, 32, 23, 1) and _field(h, 32, 4, 2) for h in heads)
+
+
+def sniffed(body: bytes | None, tagged: bool = True) -> str | None:
+    """What kind of media a body begins as; null for none.  A leading tag is skipped, once."""
+    b = bytes(body or b"")
+    for kind, (size, first) in PACKETS.items():
+        if _packets(b, size, first):
+            return kind
+    if len(b) >= 8 and b[4:8] in BOXES:
+        size = _field(b, 32, 0, 32)
+        if size == 0 or size >= 8 or (size == 1 and len(b) >= 16 and _field(b[8:], 64, 0, 64) >= 16):
+            return "bmff"
+    if len(b) >= 4 and _field(b, 16, 5, 11) == 0x7FF:
+        if len(b) >= 7 and _field(b, 16, 1, 2) == 0 and _field(b, 16, 4, 1) and _field(b, 24, 2, 4) != 15 and _field(b, 56, 13, 13) >= 7:
+            return "adts"
+        if _field(b, 16, 1, 2) and _field(b, 24, 4, 4) not in (0, 15) and _field(b, 24, 2, 2) != 3:
+            return "mpeg_audio"
+    if len(b) >= 8 and b.startswith(b"\x1aE\xdf\xa3") and re.search(b"(?i)webm|matroska", b[:4096]):
+        return "ebml"
+    if len(b) >= 9 and b.startswith(b"FLV\x01") and b[4] in (1, 4, 5) and _field(b[5:], 32, 0, 32) >= 9:
+        return "flv"
+    if len(b) >= 7 and b.startswith(b"\x0bw"):
+        return "ac3"
+    if tagged and len(b) >= 10 and b.startswith(b"ID3") and not any(x & 0x80 for x in b[6:10]):
+        skip = 10
+        for i, x in enumerate(b[6:10]):
+            skip += x << 7 * (3 - i)
+        return sniffed(b[skip:], False)
+    return None
+
+
 @F.pandas_udf(T.StringType())
 def media_kind(bodies: pd.Series) -> pd.Series:
     """What kind of media a body begins as; null for none."""
-
-    def one(b: bytes | None) -> str | None:
-        b = bytes(b or b"")
-        if len(b) > 188 and b[0] == 0x47 and b[188] == 0x47:
-            return "ts"
-        if len(b) > 196 and b[4] == 0x47 and b[196] == 0x47:
-            return "m2ts"
-        if b[4:8] in (b"ftyp", b"styp", b"moof", b"mdat", b"sidx", b"free", b"skip", b"emsg", b"prft"):
-            return "bmff"
-        for head, kind in ((b"\x1aE\xdf\xa3", "ebml"), (b"FLV", "flv"), (b"\x0bw", "ac3"), (b"ID3", "id3")):
-            if b.startswith(head):
-                return kind
-        if len(b) > 1 and b[0] == 0xFF and b[1] & 0xE0 == 0xE0:
-            return "adts" if b[1] & 0x06 == 0 else "mpeg_audio"
-        return None
-
-    return bodies.map(one)
+    return bodies.map(sniffed)
 
 
 _TOKEN = re.compile(r"""\s+|//[^\n]*|/\*.*?\*/|(?P<s>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<p>[{}\[\]:,])|(?P<w>[^\s{}\[\]:,"'/]+)""", re.S)

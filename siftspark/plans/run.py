@@ -11,6 +11,7 @@ from siftspark.functions import ids, media, policy, urls
 from siftspark.operators import health, parse, probe, select
 from siftspark.sinks.artifacts import Releases, canonical, playlist
 from siftspark.sources import registry, responses
+from siftspark.validate import release
 from siftspark.validate.health import violations
 
 ITEMS = ", ".join(f"{c} {'int' if c.startswith('consecutive') else 'string'}" for c in health.ITEM) + ", response_ms_history array<int>"
@@ -53,10 +54,16 @@ def selected(observed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, winners
 
 
-def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previous: DataFrame | None, releases: Releases, checked_at: str, bounds: Policy | None = None, place: str | None = None) -> dict:
-    """Runs it all; what it returns says whether and why a release was published."""
+def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previous: DataFrame | None, releases: Releases, checked_at: str, bounds: Policy | None = None, place: str | None = None, denied: DataFrame | None = None) -> dict:
+    """Runs it all; what it returns says whether and why a release was published.  Sources that ``denied`` entries hit by id,
+    host or URL take no part."""
     bounds = bounds or Policy()
     sources = registry.registry(spark, registry_text).where("enabled")
+    if denied is not None:
+        watched = F.transform("terms_watch", lambda t: t["url"])
+        own = sources.select(F.col("id").alias("source_id"), "enabled", F.col("allowed_hosts").alias("hosts"), F.array_compact(F.concat(F.array("fetch.reviewed_url", "fetch.repository_url"), watched)).alias("urls"))
+        kept = release.active_sources(own, *registry.denied_parts(denied)).select(F.col("source_id").alias("id"))
+        sources = sources.join(kept, "id", "left_semi")
     broken = registry.violations(sources).collect()
     if broken:
         return {"published": False, "reasons": sorted(f"{r['id']}: {r['rule']}" for r in broken)}
@@ -71,6 +78,9 @@ def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previo
     status = sources.select(F.col("id").alias("source_id"), "rights_status").join(read, "source_id", "left")
     status = status.withColumn("technical_status", F.when(F.col("_f").isNull(), F.lit(None).cast("string")).otherwise(policy.technical_for_failure(F.col("_f"), F.lit(None).cast("string"), F.lit(None).cast("string"))))
     now = health.items(rows, before, status.select("source_id", "technical_status", "rights_status"))
+    seen = rows.select("entity_id", F.col("response_ms_history").alias("_new"))
+    old = before.select("entity_id", F.col("response_ms_history").alias("_old"))
+    state = now.join(seen, "entity_id", "left").join(old, "entity_id", "left").select(*health.ITEM, F.coalesce("_new", "_old").alias("response_ms_history"))
     channels = health.channels(now, winners)
     rules = violations(now, channels, status).collect()
     ok = now.where("publication_status = 'stable' and technical_status = 'healthy'").select("entity_id")
@@ -79,7 +89,7 @@ def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previo
     facts = {n: F.lit(v) for n, v in {"state_available": True, "previous_known": True, "vod_lost": 0, "vod_previous": 0, "vod_now": 1, "live_now": winners.count(), "failed_groups": 0, **bounds.__dict__}.items()}
     reasons = counts.select(policy.gate_reasons(facts | {"live_lost": F.col("live_lost"), "live_previous": F.col("live_previous")}).alias("r")).first()["r"]
     reasons = [*reasons, *sorted(f"{r['rule']}: {r['key']}" for r in rules)]
-    result = {"published": False, "reasons": reasons, "channels": winners.count(), "items": now, "rights": {r["rights_status"]: r["count"] for r in channels.groupBy("rights_status").count().collect()}}
+    result = {"published": False, "reasons": reasons, "channels": winners.count(), "items": now, "state": state, "rights": {r["rights_status"]: r["count"] for r in channels.groupBy("rights_status").count().collect()}}
     if reasons:
         return result
     pointer = releases.current()

@@ -33,6 +33,7 @@ FAILURES = [
 #: Failures that leave the technical status as it was.
 KEEPS_STATUS = [*FAILURES[:9], "catalog_limit_exceeded"]
 #: Limits of the client: the entity works in part.
+# Fixed values.
 CLIENT_LIMITS = [
     "client_http_disallowed", "client_header_unsupported", "client_extension_unsupported", "unsupported_spider",
     "media_probe_failed", "catalog_depth_exceeded",
@@ -43,16 +44,24 @@ HARD_FAILURES = [
     "missing_upstream",
 ]
 TEMPORARY_FAILURES = ["rate_limited", "upstream_5xx", "fetch_timeout"]
+# Fixed values.
 REJECTING = [
     "takedown", "rights_restricted", "credential_required", "credential_query_rejected", "credential_header_rejected",
     "private_address_rejected", "dangerous_scheme_rejected", "invalid_header_syntax", "client_http_disallowed", "unsupported_spider",
 ]
+# Fixed values.
 WITHHOLDING = ["terms_changed", "client_header_unsupported", "client_extension_unsupported"]
 
+# Fixed values.
 SENSITIVE_KEYS = [
     "accesskey", "auth", "authorization", "accesstoken", "apikey", "cookie", "credential", "key", "password", "sig", "sign",
     "signature", "secret", "token", "expires", "expiry", "header", "headers", "httpheader",
 ]
+# What an error page says.
+HTML_ERRORS = [
+    "captcha", "验证码", "verify you are human", "access denied", "login required", "请登录", "403 forbidden", "404 not found",
+    "502 bad gateway", "503 service unavailable",
+]
 EXECUTABLE_SUFFIX = r"(?i)\.(jar|js|py|dex|so)($|[?#])"
 HISTORY = 7
 DUE_HOURS = 240

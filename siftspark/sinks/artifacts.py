@@ -86,6 +86,8 @@ class Releases:
         if self.current() != expected or not self.verified(release):
             return False
         before = (expected or {}).get("generation", 0)
+        if not self._claimed(before + 1):
+            return False
         write_atomically(self.root / "pointer.json", canonical({"release": release, "generation": before + 1, "previous": (expected or {}).get("release")}))
         return True
 
@@ -94,5 +96,21 @@ class Releases:
         now = self.current()
         if not now or not now.get("previous") or not self.verified(now["previous"]):
             return False
+        if not self._claimed(now["generation"] + 1):
+            return False
         write_atomically(self.root / "pointer.json", canonical({"release": now["previous"], "generation": now["generation"] + 1, "previous": None}))
         return True
+
+    def _claimed(self, generation: int) -> bool:
+        """Whether this writer alone may move the pointer to a generation: its mark can be made only once."""
+        place = self.root / "claims" / f"{generation:08d}"
+        place.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            place.touch(exist_ok=False)
+        except FileExistsError:
+            return False
+        return True
+
+    def state(self, release: str) -> Path:
+        """Where a release's observed items are kept for the next run."""
+        return self.root / "state" / release

@@ -25,6 +25,7 @@ SOURCE = """
 """
 REGISTRY = "sources:" + SOURCE.format(id="one", rights="verified") + SOURCE.format(id="two", rights="public_unverified") + SOURCE.format(id="three", rights="takedown")
 MASTER = "#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=3000000,RESOLUTION=1920x1080\nhi.m3u8\n"
+SEGMENT = ("G\x00\x00\x10" + "x" * 184) * 3
 MEDIA = "#EXTM3U\n#EXT-X-TARGETDURATION:6\n#EXTINF:5,\nseg.ts\n"
 
 
@@ -33,7 +34,7 @@ def response(url, body="", status=200, headers=False, ms=10, final=None, error=N
 
 
 def stream(base, ms=10, headers=False, final=None):
-    return [response(f"{base}/m.m3u8", MASTER, ms=ms, headers=headers, final=final), response(f"{base}/hi.m3u8", MEDIA, ms=ms, headers=headers), response(f"{base}/seg.ts", "x", ms=ms, headers=headers)]
+    return [response(f"{base}/m.m3u8", MASTER, ms=ms, headers=headers, final=final), response(f"{base}/hi.m3u8", MEDIA, ms=ms, headers=headers), response(f"{base}/seg.ts", SEGMENT, ms=ms, headers=headers)]
 
 
 @pytest.fixture(scope="module")
@@ -123,6 +124,50 @@ def test_releases_are_immutable_and_promoted_once(spark, tmp_path):
     assert canonical({"b": 1, "a": "é"}) == '{\n  "a": "é",\n  "b": 1\n}\n'.encode()
 
 
+def test_cli_carries_state_applies_the_denylist_and_verifies(spark, recorded, tmp_path, monkeypatch):
+    from siftspark import cli
+
+    monkeypatch.setattr(cli, "local_session", lambda *a: spark)
+    (tmp_path / "registry.yaml").write_text(REGISTRY)
+    (tmp_path / "deny.yaml").write_text("entries:\n  - {id: d1, source_ids: [], hosts: [two.example.test], urls: [], reason: r}\n")
+    recorded.write.parquet(str(tmp_path / "responses"))
+    releases = Releases(tmp_path / "r")
+    base = ["collect", str(tmp_path / "registry.yaml"), str(tmp_path / "responses"), str(tmp_path / "r")]
+    for at in ("t1", "t2"):
+        assert cli.main([*base, at]) == 0
+    state = spark.read.parquet(str(releases.state("g00000002"))).where("technical_status = 'healthy'")
+    assert {(r["consecutive_successes"], r["last_success_at"]) for r in state.collect()} == {(2, "t2")}
+    cli.main([*base, "t3", "--denylist", str(tmp_path / "deny.yaml")])
+    observed = spark.read.parquet(str(tmp_path / "r/observed/t3"))
+    assert {r["source_id"] for r in observed.select("source_id").distinct().collect()} == {"one"}
+    assert cli.main(["verify-artifact", str(tmp_path / "r"), "g00000002"]) == 0
+    (tmp_path / "r/releases/g00000002/live/live.m3u").write_text("x")
+    assert cli.main(["verify-artifact", str(tmp_path / "r"), "g00000002"]) == 1
+    assert cli.main(["verify-release", str(tmp_path / "r"), "g00000002"]) == 1
+
+
+def test_two_writers_of_one_generation(tmp_path):
+    releases = Releases(tmp_path)
+    releases.stage("a", {"x": b"1"})
+    (tmp_path / "claims").mkdir()
+    (tmp_path / "claims/00000001").touch()  # another writer has begun to move the pointer
+    assert not releases.promote("a", None) and releases.current() is None
+
+
+def test_static_and_xml_sites_and_bodies_that_are_no_media():
+    fetch = lambda rows: responses.Recorded({(r[0], r[1]): dict(zip(["url", "with_headers", "status", "body", "final_url", "elapsed_ms", "error"], r, strict=True)) for r in rows})
+    api = "https://s.example.test/api"
+    assert probe.probe_static(fetch([response(api, "{}")]), api)["technical_status"] == "partial"
+    assert probe.probe_static(fetch([]), "http://s.example.test/")["failure_reason"] == "client_http_disallowed"
+    assert probe.probe_static(fetch([]), api + "?to_ken=1")["failure_reason"] == "credential_query_rejected"
+    xml = '<rss><class><ty id="1">t</ty></class><list><video><id>7</id><name>A</name><dl><dd flag="f">e$https://h.example.test/m.m3u8</dd></dl></video></list></rss>'
+    pages = [response(f"{api}?ac={q}", xml) for q in ("list", "list&wd=A", "detail&ids=7")]
+    assert probe.probe_site(fetch(pages + stream("https://h.example.test")), api, False)["technical_status"] == "healthy"
+    assert probe.probe_site(fetch([response(f"{api}?ac=list", "<!DOCTYPE x>" + xml)]), api, False)["failure_reason"] == "invalid_xml"
+    dead = [r if not r[0].endswith(".ts") else response(r[0], "x") for r in stream("https://h.example.test")]
+    assert probe.probe_stream(fetch(dead), "https://h.example.test/m.m3u8", False)["failure_reason"] == "media_probe_failed"
+
+
 def test_stream_keeps_state_like_batches(spark, tmp_path):
     from siftspark.streaming import replay
 
