@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from siftspark.llm.common import forget, written
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return row[0], row[1] or 0
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """The number of links (a, b), distinct with a > b, and whether they are stars: an a has one b, and no b is an a."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    row = each.agg(F.sum("up"), F.max(F.col("up") + F.col("down"))).first()
+    return row[0] or 0, (row[1] or 0) <= 1
 
 
 #: An id is a hub from this many neighbours on, or from this share of all links; so there are 2 / SHARE hubs at most.
@@ -31,18 +35,22 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     ``links`` has long columns a and b; repeated links and links of an id to itself are allowed, links with a null aren't
     counted, no links give no rows.  Every round links each id's larger neighbours to its smallest one, then each id
-    and its smaller neighbours to the smallest; stars are the fixed point.  Groups are only ever reduced to their minimum,
+    and its smaller neighbours to the smallest, until the links are stars.  Groups are only ever reduced to their minimum,
     and the links of hubs are joined without moving them.  Each round is written, not kept; rounds that don't end raise.
     """
     start = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     edges = written(start.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
-    mark = _mark(edges)
-    for _ in range(rounds):
+    for left in range(rounds, -1, -1):
+        count, stars = _shape(edges)
+        if stars:
+            break
+        if not left:
+            raise RuntimeError(f"components are not found after {rounds} rounds")
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         hubs = []
-        if mark[0] >= HUB:
-            many = both.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= max(HUB, int(SHARE * mark[0])))
+        if count >= HUB:
+            many = both.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= max(HUB, int(SHARE * count)))
             hubs = [r["a"] for r in many.collect()]
         large = _to_least(both.where("b > a"), least, hubs).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         large = large.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
@@ -51,14 +59,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         small = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         before, edges = edges, written(small.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
         forget(before)
-        new = _mark(edges)
-        if new == mark:
-            break
-        mark = new
-    else:
-        raise RuntimeError(f"components are not found after {rounds} rounds")
-    found = edges.groupBy("a").agg(F.min("b").alias("b"))
-    own = found.groupBy("b").agg(F.lit(1).alias("_")).select(F.col("b").alias("id"), F.col("b").alias("component"))
-    out = written(found.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own))
+    own = edges.groupBy("b").agg(F.lit(1).alias("_")).select(F.col("b").alias("id"), F.col("b").alias("component"))
+    out = written(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own))
     forget(edges)
     return out
