@@ -19,6 +19,8 @@ def _shape(edges: DataFrame) -> tuple[int, bool]:
 
 #: An id is a hub from this many neighbours on, or from this share of all links; so there are 2 / SHARE hubs at most.
 HUB, SHARE = 10_000, 1e-5
+#: Links that a task writes, about, and tasks at least: a few links aren't spread over one small file a partition.
+FILE, FILES = 100_000, 8
 
 
 def _to_least(both: DataFrame, least: DataFrame, hubs: list[int]) -> DataFrame:
@@ -57,9 +59,11 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         near = large.join(least, "a")
         small = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        before, edges = edges, written(small.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_"))
+        small = small.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
+        before, edges = edges, written(small.coalesce(FILES + 2 * count // FILE))
         forget(before)
     own = edges.groupBy("b").agg(F.lit(1).alias("_")).select(F.col("b").alias("id"), F.col("b").alias("component"))
-    out = written(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own))
+    out = edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(own)
+    out = written(out.coalesce(FILES + 2 * count // FILE))
     forget(edges)
     return out
