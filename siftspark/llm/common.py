@@ -24,8 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+#: Bytes of an Arrow batch, about, where the session sets no bound of its own; a longer row is a batch.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes from now on, unless the session does so: rows hold whole texts, and both the executor and
+    its Python worker hold a batch, so that 10,000 rows have no bound."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
+    bound_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/siftspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.parquet(path)

@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftspark.llm.common import bound_batches
+
 LENGTH = 1024
 END = 2
 OPEN_BINS = 1024
@@ -143,6 +145,7 @@ def pack(
     are; repeated rows are packed each; a null key stays null; other columns aren't read, whatever their names.  An empty
     table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     tail = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
