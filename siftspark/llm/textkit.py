@@ -7,6 +7,7 @@ that temporaries stay near ``SLICE_BYTES`` times a small constant.  One document
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def settle() -> None:
+    """Gives freed memory back to the system: Python workers are used again, and what they keep counts with later tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of documents; null texts count as empty."""
     for begin in range(0, len(column), PART_ROWS):
@@ -63,6 +74,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
             j = max(i + 1, min(n, int(np.searchsorted(off, off[i] + max_bytes, "right")) - 1))
             yield begin + i, begin + j, data[off[i] : off[j]], off[i : j + 1] - off[i]
             i = j
+    settle()
 
 
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
