@@ -35,7 +35,7 @@ _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The character by which a byte-level vocabulary writes each byte: itself if it prints, else the next from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -65,7 +65,7 @@ class Encoder:
     def _ranked(self, added: dict):
         import tiktoken
 
-        byte_of = _byte_of()
+        byte_of = byte_of()
         if not self._merges_in_order():
             return None
         vocabulary = {w: i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if i not in added}
