@@ -5,7 +5,8 @@ one point with a count and a weight.  A point stands in the dyadic nodes over sl
 which such a node can be part of a prefix; a query's prefix of slots is the union of one canonical node for each bit that is
 set in its length.  In every node the points are sorted by level, highest first, with running sums.  A node's list is cut
 into blocks of ``FAN`` levels, blocks into blocks of blocks and so on, so that a sort never has more than ``FAN`` rows
-whatever the number of points: the top node's list is spread like all others.
+whatever the number of points: the top node's list is spread like all others.  Joins are merge joins: what grows with the input is
+never broadcast.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ def _higher(rows: DataFrame, span: int) -> DataFrame:
         return inside.drop("block")
     blocks = rows.groupBy("node", block.alias("at")).agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
     beyond = _higher(blocks, span >> BITS).select("node", F.col("at").alias("block"), F.col("n").alias("_n"), F.col("w").alias("_w"))
-    return inside.join(beyond, ["node", "block"]).select("node", "at", (F.col("n") + F.col("_n")).alias("n"), (F.col("w") + F.col("_w")).alias("w"))
+    return inside.join(beyond.hint("merge"), ["node", "block"]).select("node", "at", (F.col("n") + F.col("_n")).alias("n"), (F.col("w") + F.col("_w")).alias("w"))
 
 
 def dominators(points: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def dominators(points: DataFrame) -> DataFrame:
     """
     ends = points.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("slot", "level") for f in (F.min, F.max)]).first()
     if ends["min_slot"] is None:
-        return points
+        return points.sparkSession.createDataFrame([], points.schema)
     span, top = ends["max_slot"] - ends["min_slot"], ends["max_level"] - ends["min_level"]
     if max(span, top) >= 1 << 56:
         raise ValueError(f"slots or levels span {max(span, top)}, more than a node's id can hold")
@@ -89,7 +90,7 @@ def dominators(points: DataFrame) -> DataFrame:
     held = placed.select(F.explode(_ancestors(F.col("slot"), heights)).alias("node"), "at", "n", "w")
     places = held.unionByName(asked.select("node", "at", F.lit(0).alias("n"), F.lit(0).alias("w")))
     lists = written(places.groupBy("node", "at").agg(F.sum("n").alias("n"), F.sum("w").alias("w")))
-    found = asked.join(_higher(lists, top), ["node", "at"]).groupBy("slot", "at").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    found = asked.join(_higher(lists, top).hint("merge"), ["node", "at"]).groupBy("slot", "at").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
     out = written(found.select((F.col("slot") + ends["min_slot"]).alias("slot"), (F.col("at") + ends["min_level"]).alias("level"), "n", "w"))
     forget(lists)
     return out
@@ -108,9 +109,9 @@ def sales_above(sales: DataFrame, key: str = "sale_id", at: str = "sold_at", tot
     weight = F.coalesce(F.crc32(F.col("key").cast("string")) % 3, F.lit(0)) + 1
     points = written(rows.where(placed).groupBy("slot", "level").agg(F.count("*").alias("n"), F.sum(weight).alias("w")))
     counts = dominators(points).select("slot", "level", F.col("n").alias("n_sales"), F.col("w").alias("n_rows"))
-    forget(points) if counts is not points else None
+    forget(points)
     none = F.lit(None).cast("long")
-    out = rows.where(placed).join(counts, ["slot", "level"], "left").select("key", "slot", "level", "n_sales", "n_rows")
+    out = rows.where(placed).join(counts.hint("merge"), ["slot", "level"], "left").select("key", "slot", "level", "n_sales", "n_rows")
     # Rows without a place don't go through the join, where all their nulls would meet in one task.
     rest = rows.where(f"not ({placed})").select("key", "slot", "level", none.alias("n_sales"), none.alias("n_rows"))
     return out.unionByName(rest).withColumnRenamed("key", key)

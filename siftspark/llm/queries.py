@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siftspark.llm import alignment, decontamination, dominance, embedding_dedup, jaccard_join, language, licenses, packing, quality, substring_dedup, toxicity, url_filters
+from siftspark.llm import alignment, decontamination, dominance, embedding_dedup, jaccard_join, language, licenses, packing, pii, quality, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_licenses": licenses.op10_licenses,
     "op11_alignment": alignment.op11_alignment,
     "op12_dominance": dominance.op12_dominance,
+    "op13_pii": pii.op13_pii,
 }
 
 ORACLES = {"op3_embedding_dedup": embedding_dedup.ORACLE, "op5_jaccard_join": jaccard_join.ORACLE, "op8_url_filters": url_filters.ORACLE, "op12_dominance": dominance.ORACLE}
