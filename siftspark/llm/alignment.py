@@ -17,8 +17,8 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +27,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.llm.common import bound_batches, forget, written
-from siftspark.llm.packing import byte_of
+from siftspark.llm.packing import Encoder, byte_of, plain_text
 from siftspark.llm.textkit import settle
 
 #: Bytes of text, about, that form a block; a longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
 #: Stretches of text whose tokens a task remembers, and the characters of the longest that it does.
-REMEMBERED, LONGEST = 150_000, 100
+REMEMBERED, LONGEST = 250_000, 100
+#: Characters of a run of stretches that are encoded together, about; links of a group that are written out.
+RUN_CHARS, GROUP_LINKS = 1 << 14, 64
 
 #: What any of the libraries may take for white space, and the blank of pieces.
 _WHITE = r"\s\u180e\u200b\ufeff\u2581"
 #: A stretch ends where a blank or a line feed follows a character that is no white space at all.
 _STRETCH = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+(?:(?![ \n])[{_WHITE}]+[^{_WHITE}]*)*|[{_WHITE}]+")
+#: What a stretch that can't stand before another ends in, besides white space.
+_ENDS = "\u180e\u200b\ufeff\u2581"
 _ACROSS = re.compile(rf"[^{_WHITE}][ \n▁]")
 
 BLOCKS = """block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>,
@@ -63,26 +67,36 @@ def ends_of(tokens: list[bytes]) -> list[int]:
     return np.cumsum([len(t) for t in tokens], dtype=np.int64).tolist()
 
 
+class Known:
+    """What is known of stretches in a row: tokens of a, of b, and groups of each (-1 where a side's bytes are others), their
+    groups as text, and links (pair and times, as many of each stretch as ``links`` says)."""
+
+    def __init__(self, counts: np.ndarray, texts: list[str], links: np.ndarray, pair: np.ndarray, times: np.ndarray):
+        self.counts, self.texts, self.links, self.pair, self.times = counts, texts, links, pair, times
+
+
 class Pair:
-    """The two tokenizers and what they make of a stretch of text."""
+    """The two tokenizers and what they make of stretches of text."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
+        encoder = Encoder(path_a)
+        self.a, self.fast = encoder.tokenizer, encoder.fast
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_of()
-        self.bytes_a: dict[int, bytes] = {}
-        for word, i in self.a.get_vocab(with_added_tokens=False).items():
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * (max(self.a.get_vocab().values()) + 1)
+        for word, i in vocabulary.items():
             self.bytes_a[i] = bytes(of[c] for c in word) if all(c in of for c in word) else word.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b))
         self.wide = len(pieces)
         self.cuts = self._cuts([p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
-        self.before = self.b.encode("x")
+        self.before = len(self.b.encode("x"))
 
     def _cuts(self, pieces: list[str]) -> bool:
         """Neither tokenizer changes a text before it or joins what stands on both sides of a stretch's end: the one splits at
@@ -105,59 +119,119 @@ class Pair:
         """The parts of a blank and this text whose tokens don't depend on each other."""
         return _STRETCH.findall(" " + text) if self.cuts else [" " + text]
 
-    def tokens(self, parts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
-        """(part, ids of a, ids of b) of stretches, each as within a longer text."""
-        of_a = (x.ids for x in self.a.encode_batch(parts, add_special_tokens=False))
-        if self.cuts:
-            skip = len(self.before)
-            of_b = [x[skip:] for x in self.b.encode(["x" + p for p in parts], num_threads=1)]
+    def encoded(self, text: str) -> tuple[list[int], list[int]]:
+        """(ids of a, ids of b) of a stretch, or of several in a row, as within a longer text."""
+        a = self.fast.encode_ordinary(text) if self.fast is not None and plain_text(text) else self.a.encode(text, add_special_tokens=False).ids
+        return a, self.b.encode("x" + text)[self.before :] if self.cuts else self.b.encode(text[1:])
+
+    def known(self, parts: list[str]) -> Iterator[Known]:
+        """What is known of these stretches, in order, a bounded run of them at a time."""
+        run, held = [], 0
+        for part in parts:
+            # Stretches that end in a character of their own can stand before any other.
+            alone = not self.cuts or len(part) > LONGEST or part[-1] in _ENDS or part[-1].isspace()
+            if run and (alone or held > RUN_CHARS):
+                yield from self._of_run(run)
+                run, held = [], 0
+            if alone:
+                yield from self._of_run([part])
+            else:
+                run.append(part)
+                held += len(part)
+        if run:
+            yield from self._of_run(run)
+
+    def _of_run(self, parts: list[str]) -> Iterator[Known]:
+        text = "".join(parts)
+        a, b = self.encoded(text)
+        want = text.encode()
+        if b"".join([self.bytes_a[i] for i in a]) == want == b"".join([self.bytes_b[i] for i in b]):
+            yield self._aligned(parts, np.array(a, np.int64), np.array(b, np.int64))
+        elif len(parts) > 1:  # some of them: each by itself
+            for part in parts:
+                yield from self._of_run([part])
         else:
-            of_b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return zip(parts, of_a, of_b, strict=True)
-
-    def aligned(self, part: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, dict[int, int]] | None:
-        """(tokens of a, of b, groups, groups as text, times each pair is linked), or None where the bytes of a side are others.
-        A pair is its first id times the number of pieces plus the second."""
-        bytes_a, bytes_b, want = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b], part.encode()
-        if b"".join(bytes_a) != want or b"".join(bytes_b) != want:
-            return None
-        links: dict[int, int] = {}
-        texts, i, j = [], 0, 0
-        for x, y in merged(ends_of(bytes_a), ends_of(bytes_b)):
-            own_a, own_b = a[i:x], b[j:y]
-            texts.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-            count_b = Counter(own_b)
-            for p, n in Counter(own_a).items():  # equal ids of a group count together: no link is written out
-                for q, m in count_b.items():
-                    key = p * self.wide + q
-                    links[key] = links.get(key, 0) + n * m
-            i, j = x, y
-        return len(a), len(b), len(texts), ";".join(texts), links
+            none = np.zeros(0, np.int64)
+            yield Known(np.full((1, 3), -1), [""], np.zeros(1, np.int64), none, none)
+
+    def _aligned(self, parts: list[str], a: np.ndarray, b: np.ndarray) -> Known:
+        """Merges the ends of both sides' tokens over all stretches of a run: every stretch ends where both end."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        both = np.array(list(merged(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 2)
+        count = np.diff(both, axis=0, prepend=0)
+        n_a, n_b = count[:, 0], count[:, 1]
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        part = np.searchsorted(ends, ends_a[both[:, 0] - 1])  # of each group
+        groups = np.bincount(part, minlength=len(parts))
+        last = np.cumsum(groups) - 1
+        counts = np.stack([np.diff(both[last, 0], prepend=0), np.diff(both[last, 1], prepend=0), groups], 1)
+        texts = _texts(a, b, n_a, n_b, last)
+        small = n_a * n_b <= GROUP_LINKS
+        first_a, first_b = both[:, 0] - n_a, both[:, 1] - n_b
+        # All links of a group: each of its a tokens meets each of its b tokens.
+        tokens = np.repeat(np.flatnonzero(small), n_a[small])  # the group of each a token
+        at_a, met = _spread(first_a[small], n_a[small]), n_b[tokens]
+        pair = [np.repeat(a[at_a], met) * self.wide + b[_spread(first_b[tokens], met)]]
+        owner, times = [np.repeat(part[tokens], met)], [np.ones(len(pair[0]), np.int64)]
+        for g in np.flatnonzero(~small):  # equal ids of a large group count together: no link is written out
+            (p, n), (q, m) = (np.unique(x[f : f + c], return_counts=True) for x, f, c in ((a, first_a[g], n_a[g]), (b, first_b[g], n_b[g])))
+            pair.append((p[:, None] * self.wide + q).ravel())
+            times.append((n[:, None] * m).ravel())
+            owner.append(np.full(len(pair[-1]), part[g]))
+        pair, owner, times = map(np.concatenate, (pair, owner, times))
+        order = np.lexsort((pair, owner))
+        pair, owner, times = pair[order], owner[order], times[order]
+        new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+        return Known(counts, texts, np.bincount(owner[new], minlength=len(parts)), pair[new], np.add.reduceat(times, new))
+
+
+@lru_cache(2)
+def loaded(path_a: str, path_b: str) -> Pair:
+    """The pair of two files; a Python worker keeps it for its next tasks."""
+    return Pair(path_a, path_b)
+
+
+def _texts(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, last: np.ndarray) -> list[str]:
+    """The groups of each stretch as text: ids of a side with commas, sides with a bar, groups with semicolons."""
+    size = n_a + n_b
+    begin = np.cumsum(size) - size
+    ids, marks = np.empty(int(size.sum()), np.int64), np.zeros(int(size.sum()), np.int64)
+    ids[_spread(begin, n_a)], ids[_spread(begin + n_a, n_b)] = a, b
+    marks[begin + n_a - 1], marks[begin + size - 1] = 1, 2
+    marks[begin[last] + size[last] - 1] = 3
+    words = [x + y for x, y in zip(map(str, ids.tolist()), np.array([",", "|", ";", ""], object)[marks].tolist(), strict=True)]
+    stops = (begin[last] + size[last]).tolist()
+    return ["".join(words[i:j]) for i, j in zip([0, *stops[:-1]], stops, strict=True)]
 
 
 class _Memory:
     """What is known of stretches, by number; pairs have numbers too."""
 
     def __init__(self, pair: Pair):
-        self.pair, self.number = pair, {"": 0}
-        self.known: list[tuple[int, int, int]] = [(0, 0, 0)]
-        self.texts: list[str | None] = [""]
-        self.start, self.at, self.times = [0, 0], [], []
-        self.pair_number: dict[int, int] = {}
-
-    def learn(self, parts: set[str]) -> None:
-        for part, a, b in self.pair.tokens(sorted(parts)):
-            found = self.pair.aligned(part, a, b)
-            self.number[part] = len(self.known)
-            self.known.append(found[:3] if found else (0, 0, 0))
-            self.texts.append(found[3] if found else None)
-            for key, n in (found[4] if found else {}).items():
-                self.at.append(self.pair_number.setdefault(key, len(self.pair_number)))
-                self.times.append(n)
-            self.start.append(len(self.at))
+        self.pair, self.number, self.texts = pair, {}, []
+        self.counts, self.start = np.zeros((0, 3), np.int64), np.zeros(1, np.int64)
+        self.at, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)  # sorted; a link's ``at`` is a place here
+        self.large = 0
+
+    def learn(self, parts: list[str]) -> None:
+        found = list(self.pair.known(parts))
+        if not found:
+            return
+        self.number.update(zip(parts, range(len(self.texts), len(self.texts) + len(parts)), strict=True))
+        for x in found:
+            self.texts += x.texts
+        self.large += sum(map(len, parts))
+        self.counts = np.concatenate([self.counts, *(x.counts for x in found)])
+        links = np.concatenate([x.links for x in found])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(links)])
+        pair = np.concatenate([x.pair for x in found])
+        pairs = np.union1d(self.pairs, pair)
+        self.at = np.concatenate([np.searchsorted(pairs, self.pairs)[self.at], np.searchsorted(pairs, pair)])
+        self.pairs, self.times = pairs, np.concatenate([self.times, *(x.times for x in found)])
 
     def full(self) -> bool:
-        return len(self.known) > REMEMBERED or len(self.at) > 8 * REMEMBERED or any(len(t or "") > 64 * LONGEST for t in self.texts)
+        return len(self.texts) > REMEMBERED or self.large > 16 * REMEMBERED
 
 
 def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -169,31 +243,30 @@ def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _block(memory: _Memory, number: int, keys: list, texts: list[str]) -> dict:
     """A block's row: sums of each document, its links as places in the block's list of pairs, and that list."""
     parts = [memory.pair.stretches(t) if t else [] for t in texts]
-    memory.learn({p for own in parts for p in own if p not in memory.number})
-    numbers = [[memory.number[p] for p in own] for own in parts]
-    strings = memory.texts
-    # A document of which any stretch has other bytes has no tokens.
-    numbers = [own if all(strings[x] is not None for x in own) else [] for own in numbers]
-    groups = [hashlib.sha256(";".join([strings[x] for x in own]).encode()).hexdigest() if own else "" for own in numbers]
+    known = memory.number
+    memory.learn(list(dict.fromkeys(p for own in parts for p in own if p not in known)))
+    numbers = [[known[p] for p in own] for own in parts]
     count = np.array([len(own) for own in numbers], np.int64)
-    doc = np.repeat(np.arange(len(texts)), count)
     flat = np.fromiter((x for own in numbers for x in own), np.int64, int(count.sum()))
-    known = np.array(memory.known, np.int64)
-    sums = [np.bincount(doc, known[flat, k], len(texts)).astype(np.int64) for k in range(3)]
-    start, at, times = np.array(memory.start, np.int64), np.array(memory.at, np.int64), np.array(memory.times, np.int64)
-    size = start[flat + 1] - start[flat]
-    where = _spread(start[flat], size)
-    linked = np.repeat(doc, size) << 40 | at[where]
+    doc = np.repeat(np.arange(len(texts)), count)
+    # A document of which any stretch has other bytes has no tokens.
+    odd = np.bincount(doc, memory.counts[flat, 2] < 0, len(texts)) > 0
+    strings = memory.texts
+    groups = [hashlib.sha256(";".join([strings[x] for x in own]).encode()).hexdigest() if own and not none else "" for own, none in zip(numbers, odd.tolist(), strict=True)]
+    flat, doc = flat[~odd[doc]], doc[~odd[doc]]
+    sums = [np.bincount(doc, memory.counts[flat, k], len(texts)).astype(np.int64) for k in range(3)]
+    size = memory.start[flat + 1] - memory.start[flat]
+    where = _spread(memory.start[flat], size)
+    linked, times = np.repeat(doc, size) << 40 | memory.at[where], memory.times
     order = np.argsort(linked, kind="stable")
     first = np.flatnonzero(np.diff(linked[order], prepend=-1)) if len(order) else np.zeros(0, np.int64)
     each = np.add.reduceat(times[where][order], first) if len(first) else np.zeros(0, np.int64)
     linked = linked[order][first]
     used, place, docs = np.unique(linked & ((1 << 40) - 1), return_inverse=True, return_counts=True)
-    pairs = np.fromiter(memory.pair_number, np.int64, len(memory.pair_number))
     of = linked >> 40
     return {
         "block": number, "doc_id": keys, "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": np.bincount(of, each, len(texts)).astype(np.int64), "groups": groups,
-        "ends": np.searchsorted(of, np.arange(len(texts)), "right"), "place": place.astype(np.int32), "times": each.astype(np.int32), "pair": pairs[used], "docs": docs.astype(np.int32),
+        "ends": np.searchsorted(of, np.arange(len(texts)), "right"), "place": place.astype(np.int32), "times": each.astype(np.int32), "pair": memory.pairs[used], "docs": docs.astype(np.int32),
     }
 
 
@@ -209,7 +282,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: str, block
     kinds = to_arrow_schema(StructType.fromDDL(BLOCKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(path_a, path_b)
+        pair = loaded(path_a, path_b)
         memory, number = _Memory(pair), TaskContext.get().partitionId() << 36
         keys, texts, held = [], [], 0
 
@@ -277,7 +350,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     table gives no rows.
     """
     rows = written(blocks(docs, path_a, path_b, key, text, block_bytes))
-    wide = Pair(path_a, path_b).wide
+    wide = loaded(path_a, path_b).wide
     counts = pair_counts(rows, wide)
     own = rows.select("block", F.posexplode("pair").alias("place", "pair"))
     back = own.join(counts, "pair").select("block", "place", "count", "best")

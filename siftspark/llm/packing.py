@@ -9,10 +9,12 @@ gives the same sequences.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,6 +34,10 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: White space that two libraries' patterns may read differently; such texts go to ``tokenizers`` itself.
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 
+#: A run of so many characters that one cut of the pattern may take goes to ``tokenizers``.
+RUN_BYTES = 20_000
+_RUN = re.compile(r"[^\W\d_]{%d}|\d{%d}|\s{%d}|[\W_]{%d}" % ((RUN_BYTES,) * 4))
+
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -45,51 +51,69 @@ def byte_of() -> dict[str, int]:
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes: those of the vocabulary file under ``tokenizers``.
 
-    The same merges run about three times faster in ``tiktoken``, which gets the file's vocabulary as ranks; it is used if
-    it agrees with ``tokenizers`` on a probe, and never for texts that hold a special token's string or unusual white space.
+    The same merges run about three times faster in ``tiktoken``, if that can be imported, which gets the file's vocabulary as
+    ranks.  It is used if the file says that it works alike (see ``ranked``) and it agrees on a probe, and never for texts that hold a
+    special token's string or unusual white space, or runs of ``RUN_BYTES`` characters or more of one kind, which it can't hold on its stack.
     """
 
     PROBE = "It's Über-1234  «día»\n\n\t ça va?!  we'll see...\r\n 日本語 \U0001f600 the end "
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [x.content for x in added.values()]
-        self.fast = self._ranked(added)
-
-    def _ranked(self, added: dict):
-        import tiktoken
-
-        byte_of = byte_of()
-        if not self._merges_in_order():
-            return None
-        vocabulary = {w: i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if i not in added}
-        if not all(c in byte_of for w in vocabulary for c in w):
-            return None
-        ranks = {bytes(byte_of[c] for c in w): i for w, i in vocabulary.items()}
-        fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return fast if fast.encode_ordinary(self.PROBE) == self._plain(self.PROBE) else None
-
-    def _merges_in_order(self) -> bool:
-        """Each merge makes a token of its own, and later merges make later ids: the earliest merge is the least rank."""
-        model = json.loads(self.tokenizer.to_str())["model"]
-        made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model.get("merges", [])]
-        return bool(made) and min(made) >= 0 and all(a < b for a, b in zip(made[:-1], made[1:], strict=True))
+        self.fast = ranked(self.tokenizer)
+        if self.fast is not None and self.fast.encode_ordinary(self.PROBE) != self._plain(self.PROBE):
+            self.fast = None
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> bytes:
-        if self.fast is None or _ODD.search(text) or any(s in text for s in self.special):
+        if self.fast is None or not plain_text(text) or any(s in text for s in self.special):
             return array("I", self._plain(text)).tobytes()
         return array("I", self.fast.encode_ordinary(text)).tobytes()
 
 
+@lru_cache(2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file; a Python worker keeps it for its next tasks."""
+    return Encoder(path)
+
+
+def plain_text(text: str) -> bool:
+    """Whether the fast library may encode it: no unusual white space and no run that overflows its stack."""
+    return not _ODD.search(text) and (len(text) < RUN_BYTES or not _RUN.search(text))
+
+
+def ranked(tokenizer):
+    """The vocabulary as a ``tiktoken`` encoding, or None where the file doesn't prove that it works alike: no normaliser, the
+    byte-level cuts without a blank before, plain merges, each of which makes a token of its own in the order of ids."""
+    try:
+        import tiktoken
+    except ImportError:
+        return None
+    file, of = json.loads(tokenizer.to_str()), byte_of()
+    cuts, model = file["pre_tokenizer"] or {}, file["model"]
+    if file["normalizer"] or cuts.get("type") != "ByteLevel" or cuts.get("add_prefix_space") or not cuts.get("use_regex", True):
+        return None
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if model["type"] != "BPE" or any(model.get(x) for x in odd):
+        return None
+    made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model.get("merges", [])]
+    if not made or min(made) < 0 or any(a >= b for a, b in zip(made[:-1], made[1:], strict=True)):
+        return None
+    added = tokenizer.get_added_tokens_decoder()
+    vocabulary = {w: i for w, i in tokenizer.get_vocab(with_added_tokens=False).items() if i not in added}
+    if not all(c in of for w in vocabulary for c in w):
+        return None
+    ranks = {bytes(of[c] for c in w): i for w, i in vocabulary.items()}
+    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class BestFit:
     """Places lengths into bins of ``size``; ``place`` gives the bin and the offset in it."""
 
@@ -149,7 +173,7 @@ def pack(
     tail = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins = Encoder(path), BestFit(size, open_bins)
+        encoder, bins = encoder_of(path), BestFit(size, open_bins)
         base = TaskContext.get().partitionId() << 36
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)

@@ -237,12 +237,20 @@ def spans_of(texts: list[str], field: Field) -> Iterator[tuple[list, list]]:
     added: list[list] = [[] for _ in texts]
     for i, chain, labels in zip(owner, chains, field.decode(chains), strict=True):
         if any(labels):
-            added[i] += _spans_of(chain, labels)
+            added[i] += [x for x in _spans_of(chain, labels) if _possible(KINDS[x[0]], texts[i][x[1] : x[2]])]
     for known, more in zip(base, added, strict=True):
         taken = _joined(known)
         yield known, sorted(known + [x for x in more if not _touches(x, taken)])
 
 
+def _possible(kind: str, value: str) -> bool:
+    """Whether a value of the field's has the digits that its kind must have."""
+    if kind not in ("card", "phone"):
+        return len(value) <= LONG_WORD
+    digits = re.sub("[^0-9]", "", value)
+    return 7 <= len(digits) <= 15 if kind == "phone" else 16 <= len(digits) <= 19 and luhn(digits)
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """The ranges that spans cover, in order and apart."""
     out: list[tuple[int, int]] = []
@@ -310,33 +318,33 @@ def fit(table: DataFrame, limit: int = ROWS, rounds: int = 150, rate: float = 0.
     k = len(LABELS)
     if not chains:
         return Field({}, np.zeros((1, k)), np.where(np.arange(k) == 0, 0.0, -1.0)[None, :].repeat(k, 0))
-    n, length, width = len(chains), max(map(len, chains)), max(len(x[2]) for c in chains for x in c)
-    ids, mask, want = np.full((n, length, width), len(names)), np.zeros((n, length), bool), np.zeros((n, length), np.int64)
-    for i, chain in enumerate(chains):
-        for t, (_, _, features) in enumerate(chain):
-            ids[i, t, : len(features)] = [names[f] for f in features]
-            mask[i, t], want[i, t] = True, gold[i][t]
+    n, length = len(chains), max(map(len, chains))
+    mask, want = np.arange(length) < np.array([len(c) for c in chains])[:, None], np.zeros((n, length), np.int64)
+    want[mask] = [x for own in gold for x in own]
+    words = [[names[f] for f in features] for chain in chains for _, _, features in chain]
+    size = np.array([len(x) for x in words])
+    ids = np.array([f for x in words for f in x])
+    begin = np.cumsum(size) - size
+    by_name = np.argsort(ids, kind="stable")
+    holder, first = np.repeat(np.arange(len(words)), size)[by_name], np.searchsorted(ids[by_name], np.arange(len(names)))
     true = np.eye(k)[want] * mask[..., None]
     true_pairs = np.zeros((k, k))
     edges = [(0, want[:, 0]), *((want[:, t - 1][mask[:, t]], want[:, t][mask[:, t]]) for t in range(1, length)), (want[np.arange(n), mask.sum(1) - 1], 0)]
     for a, b in edges:
         np.add.at(true_pairs, (a, b), 1)
-    flat = ids.reshape(-1)
-    weights, steps = np.zeros((len(names) + 1, k)), np.zeros((k, k))
+    weights, steps, scores = np.zeros((len(names), k)), np.zeros((k, k)), np.zeros((n, length, k))
     state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(steps), np.zeros_like(steps)]
     for r in range(1, rounds + 1):
-        scores = weights[ids].sum(2)
+        scores[mask] = np.add.reduceat(weights[ids], begin)
         norm, chance, pairs = _chances(scores, steps, mask)
         pairs[0] += chance[:, 0].sum(0)
         pairs[:, 0] += chance[np.arange(n), mask.sum(1) - 1].sum(0)
-        slope = np.zeros_like(weights)
-        np.add.at(slope, flat, np.repeat((true - chance).reshape(-1, k), width, 0))
+        slope = np.add.reduceat((true - chance)[mask][holder], first)
         for value, gradient, (m, v) in ((weights, slope / n - decay * weights, state[:2]), (steps, (true_pairs - pairs) / n - decay * steps, state[2:])):
             m += 0.1 * (gradient - m)
             v += 0.01 * (gradient**2 - v)
             value += rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
-        weights[-1] = 0
-    return Field(names, weights[:-1] if names else weights, steps)
+    return Field(names, weights, steps)
 
 
 def labelled(spark: SparkSession, rows: int = 1500, seed: int = 13) -> DataFrame:
@@ -381,6 +389,7 @@ def labelled(spark: SparkSession, rows: int = 1500, seed: int = 13) -> DataFrame
             f"{rng.randint(256, 999)}.{octets(999)}"[:15], f"sha256: {hexa(64)}", f"commit {hexa(40)}", f"commit {hexa(7)}", f"checksum = {hexa(32)}", f"id {hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}",
             f"https://{word()}.example/{digits(4)}", f"@{word()}{digits(2)}", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", f"{digits(2)}-{digits(2)}", f"{rng.randint(1, 99)}.", f"{word()}{digits(2)}", hexa(40), opaque(24),
             f"{digits(4)} {digits(4)} {digits(4)}", f"{digits(1)}.{digits(1)}.", f"{digits(3)}%", f"({rng.randint(1900, 2030)})", f"[{digits(2)}]",
+            " ".join(digits(rng.randint(1, 6)) for _ in range(rng.randint(2, 12))), " ".join(digits(rng.randint(1, 3)) for _ in range(rng.randint(2, 20))), " ".join(f"{digits(2)}.{digits(2)}" for _ in range(rng.randint(2, 8))),
         )
 
     def disturbed(value: str) -> str:

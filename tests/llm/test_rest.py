@@ -35,6 +35,29 @@ def test_packing_is_a_round_trip(spark):
     assert got["sequence_id"].nunique() <= 1.05 * got["length"].sum() / 1024 + 8
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "x", "7", "-", "é"])
+def test_packing_of_a_very_long_run(spark, unit):
+    from tokenizers import Tokenizer
+
+    text = unit * 1_000_000 + "x"
+    docs = spark.createDataFrame([(1, text), (2, "some words")], "doc_id long, text string")
+    ids = Tokenizer.from_file(packing.tokenizer_path()).encode(text, add_special_tokens=False).ids
+    got = packing.pack(docs.withColumnRenamed("text", "piece").withColumnRenamed("doc_id", "length"), packing.tokenizer_path(), key="length", text="piece").toPandas()
+    assert int(got[got["doc_id"] == 1]["length"].sum()) == len(ids) + 1
+    assert packing.pack(docs.limit(0), packing.tokenizer_path()).count() == 0
+
+
+def test_the_fast_encoder_is_refused_where_the_file_differs():
+    import json
+
+    from tokenizers import Tokenizer
+
+    file = json.loads(Tokenizer.from_file(packing.tokenizer_path()).to_str())
+    assert packing.ranked(Tokenizer.from_str(json.dumps(file))) is not None
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": file["pre_tokenizer"] | {"add_prefix_space": True}}, {"pre_tokenizer": file["pre_tokenizer"] | {"use_regex": False}}, {"pre_tokenizer": None}):
+        assert packing.ranked(Tokenizer.from_str(json.dumps(file | change))) is None
+
+
 def test_best_fit_takes_the_least_space_that_holds():
     bins = packing.BestFit(10, 3)
     assert [bins.place(n) for n in (7, 6, 3, 4, 10, 5)] == [(0, 0), (1, 0), (0, 7), (1, 6), (2, 0), (3, 0)]
