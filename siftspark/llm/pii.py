@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -271,31 +272,29 @@ def as_text(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(found))
 
 
+def _log_sum(ways: np.ndarray, axis: int) -> np.ndarray:
+    top = ways.max(axis)
+    return top + np.log(np.exp(ways - np.expand_dims(top, axis)).sum(axis))
+
+
 def _chances(scores: np.ndarray, steps: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log-likelihood's normaliser, label chances, chances of neighbouring labels summed) of padded chains."""
+    """(log-likelihood's normaliser, label chances, chances of neighbouring labels summed) of padded chains, longest first."""
     n, length, k = scores.shape
-    ahead = np.zeros_like(scores)
-    ahead[:, 0] = scores[:, 0] + steps[0]
+    live, last = mask.sum(0), mask.sum(1) - 1
+    ahead, behind, pairs = scores.copy(), np.zeros_like(scores), np.zeros((k, k))
+    ahead[:, 0] += steps[0]
     for t in range(1, length):
-        ways = ahead[:, t - 1, :, None] + steps
-        top = ways.max(1)
-        ahead[:, t] = np.where(mask[:, t, None], top + np.log(np.exp(ways - top[:, None]).sum(1)) + scores[:, t], ahead[:, t - 1])
-    last = ahead[:, -1] + steps[:, 0]
-    top = last.max(1)
-    norm = top + np.log(np.exp(last - top[:, None]).sum(1))
-    behind = np.zeros_like(scores)
-    behind[:, -1] = steps[:, 0]
-    pairs = np.zeros((k, k))
+        ahead[: live[t], t] += _log_sum(ahead[: live[t], t - 1, :, None] + steps, 1)
+    norm = _log_sum(ahead[np.arange(n), last] + steps[:, 0], 1)
+    behind[np.arange(n), last] = steps[:, 0]
     for t in range(length - 1, 0, -1):
-        ways = steps + (scores[:, t] + behind[:, t])[:, None, :]
-        joint = np.exp(ahead[:, t - 1, :, None] + ways - norm[:, None, None])
-        pairs += (joint * mask[:, t, None, None]).sum(0)
-        top = ways.max(2)
-        behind[:, t - 1] = np.where(mask[:, t, None], top + np.log(np.exp(ways - top[..., None]).sum(2)), steps[:, 0])
+        ways = steps + (scores[: live[t], t] + behind[: live[t], t])[:, None, :]
+        pairs += np.exp(ahead[: live[t], t - 1, :, None] + ways - norm[: live[t], None, None]).sum(0)
+        behind[: live[t], t - 1] = _log_sum(ways, 2)
     return norm, np.exp(ahead + behind - norm[:, None, None]) * mask[..., None], pairs
 
 
-def fit(table: DataFrame, limit: int = ROWS, rounds: int = 150, rate: float = 0.15, decay: float = 2e-3) -> Field:
+def fit(table: DataFrame, limit: int = ROWS, rounds: int = 100, rate: float = 0.15, decay: float = 2e-3) -> Field:
     """A field learned from a labelled table of texts and spans (kind, start, end): at most ``limit`` rows, chosen by a hash.
 
     Rows with a null text or null spans are left out; an empty table gives a field that labels nothing."""
@@ -310,18 +309,17 @@ def fit(table: DataFrame, limit: int = ROWS, rounds: int = 150, rate: float = 0.
                 labels.append(place + 1 if own is not None and own["start"] < start and labels and labels[-1] >= place > 0 else place)
             chains.append(chain)
             gold.append(labels)
-    names: dict[str, int] = {}
-    for chain in chains:
-        for _, _, features in chain:
-            for f in features:
-                names.setdefault(f, len(names))
+    seen = Counter(f for chain in chains for _, _, features in chain for f in features)
+    names = {f: i for i, f in enumerate(f for f, times in seen.items() if times > 1)}
     k = len(LABELS)
-    if not chains:
+    if not names:
         return Field({}, np.zeros((1, k)), np.where(np.arange(k) == 0, 0.0, -1.0)[None, :].repeat(k, 0))
+    order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
+    chains, gold = [chains[i] for i in order], [gold[i] for i in order]
     n, length = len(chains), max(map(len, chains))
     mask, want = np.arange(length) < np.array([len(c) for c in chains])[:, None], np.zeros((n, length), np.int64)
     want[mask] = [x for own in gold for x in own]
-    words = [[names[f] for f in features] for chain in chains for _, _, features in chain]
+    words = [[names[f] for f in features if f in names] for chain in chains for _, _, features in chain]
     size = np.array([len(x) for x in words])
     ids = np.array([f for x in words for f in x])
     begin = np.cumsum(size) - size
@@ -347,7 +345,7 @@ def fit(table: DataFrame, limit: int = ROWS, rounds: int = 150, rate: float = 0.
     return Field(names, weights, steps)
 
 
-def labelled(spark: SparkSession, rows: int = 1500, seed: int = 13) -> DataFrame:
+def labelled(spark: SparkSession, rows: int = 1000, seed: int = 13) -> DataFrame:
     """The small labelled table (text, spans): made-up words around made-up values, drawn by rule.
 
     Of each kind there are plain and disturbed values (marks around them, keys before them), and look-alikes without a span: dates,
@@ -389,7 +387,7 @@ def labelled(spark: SparkSession, rows: int = 1500, seed: int = 13) -> DataFrame
             f"{rng.randint(256, 999)}.{octets(999)}"[:15], f"sha256: {hexa(64)}", f"commit {hexa(40)}", f"commit {hexa(7)}", f"checksum = {hexa(32)}", f"id {hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}",
             f"https://{word()}.example/{digits(4)}", f"@{word()}{digits(2)}", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", f"{digits(2)}-{digits(2)}", f"{rng.randint(1, 99)}.", f"{word()}{digits(2)}", hexa(40), opaque(24),
             f"{digits(4)} {digits(4)} {digits(4)}", f"{digits(1)}.{digits(1)}.", f"{digits(3)}%", f"({rng.randint(1900, 2030)})", f"[{digits(2)}]",
-            " ".join(digits(rng.randint(1, 6)) for _ in range(rng.randint(2, 12))), " ".join(digits(rng.randint(1, 3)) for _ in range(rng.randint(2, 20))), " ".join(f"{digits(2)}.{digits(2)}" for _ in range(rng.randint(2, 8))),
+            " ".join(digits(rng.randint(1, 6)) for _ in range(rng.randint(2, 9))), " ".join(digits(rng.randint(1, 3)) for _ in range(rng.randint(2, 9))), " ".join(f"{digits(2)}.{digits(2)}" for _ in range(rng.randint(2, 8))),
         )
 
     def disturbed(value: str) -> str:

@@ -196,7 +196,7 @@ def test_field_on_held_out_rows(spark, field):
 def test_gradient_of_the_likelihood():
     rng = np.random.RandomState(1)
     k, scores = 3, rng.randn(4, 3, 3)
-    steps, mask = rng.randn(k, k), np.array([[1, 1, 1], [1, 1, 0], [1, 0, 0], [1, 1, 1]], bool)
+    steps, mask = rng.randn(k, k), np.array([[1, 1, 1], [1, 1, 1], [1, 1, 0], [1, 0, 0]], bool)
     norm, chance, pairs = pii._chances(scores, steps, mask)
     seen, sums = np.zeros_like(chance), np.zeros((k, k))
     for i in range(4):
