@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftspark.operators import crawl, names, numbering, redirects
+from siftspark.operators import crawl, names, numbering, redirects, walk
 from siftspark.plans.registry import query
 from siftspark.session import table
+from siftspark.validate import schema
 
 #: A document's path in its source's repository is its third word; of several documents of a path the first is the file.
 _FILES = """words AS (SELECT doc_id, source, unnest(string_split(text, ' ')) AS w FROM documents WHERE text IS NOT NULL AND source IS NOT NULL),
@@ -90,3 +91,58 @@ def redirect_chains(spark, sf_dir):
     onward = pages.where("page_id % 5 <> 0").select("url", ((F.col("page_id") * 7 + F.length("url")) % F.lit(count)).alias("to"))
     hops = onward.join(pages.select(F.col("page_id").alias("to"), F.col("url").alias("location")), "to").select("url", "location")
     return redirects.resolved(pages, hops, ~F.col("_to").contains("example.net/de")).select("page_id", "hops", "reason", "final_url")
+
+
+@query(
+    "nested_scalars",
+    """SELECT click_id, replace(replace(replace(substr(fullkey, 2), '.', '/'), '[', '/'), ']', '') AS path, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS kind,
+CASE WHEN type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN atom ->> '$' END AS scalar FROM (SELECT click_id, props FROM clicks WHERE json_valid(props)) c, json_tree(c.props) t""",
+)
+def nested_scalars(spark, sf_dir):
+    """Every value inside the clicks' properties with its path."""
+    clicks = table(spark, sf_dir, "clicks").select("click_id", F.try_parse_json("props").alias("v"))
+    rows = walk.walk(clicks, ["click_id"], "v")
+    return rows.select("click_id", "path", "kind", "scalar")
+
+
+#: What a click's properties should look like.
+CLICK_SCHEMA = {
+    "type": "object", "required": ["k", "device"], "additionalProperties": False,
+    "properties": {
+        "k": {"type": "integer", "minimum": 0, "maximum": 94}, "tags": {"type": "array", "items": {"type": "string", "minLength": 2}}, "items": {"type": "array", "minItems": 1, "items": {"$ref": "#/$defs/item"}},
+        "device": {"type": "object", "required": ["os", "ver"], "properties": {"os": {"enum": ["ios", "android", "web"]}, "ver": {"type": "string", "pattern": r"^[0-4]\.[0-9]+$"}}},
+    },
+    "$defs": {"item": {"type": "object", "required": ["sku", "qty"], "properties": {"sku": {"type": "integer"}, "qty": {"anyOf": [{"const": 1}, {"type": "integer", "minimum": 3}]}}}},
+}
+
+
+@query(
+    "schema_violations",
+    r"""WITH c AS (SELECT click_id, CAST(props AS JSON) AS v FROM clicks WHERE json_valid(props)), top AS (SELECT click_id, v, unnest(json_keys(v)) AS n FROM c),
+i AS (SELECT click_id, pos - 1 AS pos, json_extract(v, '$.items[' || (pos - 1) || ']') AS x FROM (SELECT click_id, v, unnest(range(1, CAST(json_array_length(v, '$.items') AS BIGINT) + 1)) AS pos FROM c WHERE json_type(v, '$.items') = 'ARRAY')),
+t AS (SELECT click_id, pos - 1 AS pos, json_extract(v, '$.tags[' || (pos - 1) || ']') AS x FROM (SELECT click_id, v, unnest(range(1, CAST(json_array_length(v, '$.tags') AS BIGINT) + 1)) AS pos FROM c WHERE json_type(v, '$.tags') = 'ARRAY'))
+SELECT click_id, '/k' AS path, 'required' AS rule FROM c WHERE json_type(v, '$.k') IS NULL
+UNION ALL SELECT click_id, '/device', 'required' FROM c WHERE json_type(v, '$.device') IS NULL
+UNION ALL SELECT click_id, '/' || n, 'additionalProperties' FROM top WHERE n NOT IN ('k', 'tags', 'items', 'device')
+UNION ALL SELECT click_id, '/k', 'type' FROM c WHERE json_type(v, '$.k') NOT IN ('UBIGINT', 'BIGINT')
+UNION ALL SELECT click_id, '/k', 'maximum' FROM c WHERE json_type(v, '$.k') IN ('UBIGINT', 'BIGINT') AND CAST(v ->> '$.k' AS BIGINT) > 94
+UNION ALL SELECT click_id, '/tags', 'type' FROM c WHERE json_type(v, '$.tags') <> 'ARRAY'
+UNION ALL SELECT click_id, '/items', 'type' FROM c WHERE json_type(v, '$.items') <> 'ARRAY'
+UNION ALL SELECT click_id, '/device', 'type' FROM c WHERE json_type(v, '$.device') <> 'OBJECT'
+UNION ALL SELECT click_id, '/items', 'minItems' FROM c WHERE json_type(v, '$.items') = 'ARRAY' AND json_array_length(v, '$.items') = 0
+UNION ALL SELECT click_id, '/tags/' || pos, 'type' FROM t WHERE json_type(x) <> 'VARCHAR'
+UNION ALL SELECT click_id, '/tags/' || pos, 'minLength' FROM t WHERE json_type(x) = 'VARCHAR' AND length(x ->> '$') < 2
+UNION ALL SELECT click_id, '/device/' || n, 'required' FROM c, (VALUES ('os'), ('ver')) r(n) WHERE json_type(v, '$.device') = 'OBJECT' AND json_type(v, '$.device.' || n) IS NULL
+UNION ALL SELECT click_id, '/device/os', 'enum' FROM c WHERE json_type(v, '$.device.os') IS NOT NULL AND coalesce(v ->> '$.device.os', '') NOT IN ('ios', 'android', 'web')
+UNION ALL SELECT click_id, '/device/ver', 'type' FROM c WHERE json_type(v, '$.device.ver') <> 'VARCHAR'
+UNION ALL SELECT click_id, '/device/ver', 'pattern' FROM c WHERE json_type(v, '$.device.ver') = 'VARCHAR' AND NOT regexp_matches(v ->> '$.device.ver', '^[0-4]\.[0-9]+$')
+UNION ALL SELECT click_id, '/items/' || pos, 'type' FROM i WHERE json_type(x) <> 'OBJECT'
+UNION ALL SELECT click_id, '/items/' || pos || '/' || n, 'required' FROM i, (VALUES ('sku'), ('qty')) r(n) WHERE json_type(x) = 'OBJECT' AND json_type(x, '$.' || n) IS NULL
+UNION ALL SELECT click_id, '/items/' || pos || '/sku', 'type' FROM i WHERE json_type(x, '$.sku') NOT IN ('UBIGINT', 'BIGINT')
+UNION ALL SELECT click_id, '/items/' || pos || '/qty', 'anyOf' FROM i WHERE json_type(x, '$.qty') IS NOT NULL AND NOT (json_type(x, '$.qty') IN ('UBIGINT', 'BIGINT') AND (CAST(x ->> '$.qty' AS BIGINT) = 1 OR CAST(x ->> '$.qty' AS BIGINT) >= 3))""",
+)
+def schema_violations(spark, sf_dir):
+    """What of the clicks' properties breaks their schema, and where."""
+    clicks = table(spark, sf_dir, "clicks").select("click_id", F.try_parse_json("props").alias("v")).where("v is not null")
+    rows = clicks.select("click_id", F.explode(schema.violations(F.col("v"), CLICK_SCHEMA)).alias("x"))
+    return rows.select("click_id", "x.path", "x.rule")
