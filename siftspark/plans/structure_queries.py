@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftspark.operators import crawl, names, numbering, redirects, walk
+from siftspark.operators import crawl, names, numbering, patterns, redirects, walk
 from siftspark.plans.registry import query
 from siftspark.session import table
 from siftspark.validate import schema
@@ -146,3 +146,22 @@ def schema_violations(spark, sf_dir):
     clicks = table(spark, sf_dir, "clicks").select("click_id", F.try_parse_json("props").alias("v")).where("v is not null")
     rows = clicks.select("click_id", F.explode(schema.violations(F.col("v"), CLICK_SCHEMA)).alias("x"))
     return rows.select("click_id", "x.path", "x.rule")
+
+
+_PATTERNS = """p AS (SELECT 'item:' || item_id AS rule, array_to_string(list_slice(string_split(text, ' '), 2, 6), ' ') AS pattern FROM benchmark
+UNION SELECT 'host:' || n_name, lower(n_name) FROM nation UNION SELECT 'mail:' || i, '@mail' || i || '.example.com' FROM (SELECT unnest(range(10)) AS i) UNION SELECT 'word:' || i, 'er' || i FROM (SELECT unnest(range(10)) AS i))"""
+
+
+@query(
+    "texts_with_patterns",
+    f"""WITH {_PATTERNS} SELECT doc_id, rule, (strlen(text) - strlen(replace(text, pattern, ''))) // strlen(pattern) AS hits FROM documents, p WHERE length(pattern) > 0 AND contains(text, pattern)""",
+)
+def texts_with_patterns(spark, sf_dir):
+    """Documents that hold a phrase of a benchmark item, a name or a host, wherever it stands, and how often."""
+    phrase = F.array_join(F.slice(F.split("text", " "), 2, 5), " ")
+    rules = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("item:"), F.col("item_id").cast("string")).alias("rule"), phrase.alias("pattern"))
+    rules = rules.union(table(spark, sf_dir, "nation").select(F.concat(F.lit("host:"), "n_name"), F.lower("n_name")))
+    digits = spark.range(10).select(F.col("id").cast("string").alias("i"))
+    rules = rules.union(digits.select(F.concat(F.lit("mail:"), "i"), F.concat(F.lit("@mail"), "i", F.lit(".example.com")))).union(digits.select(F.concat(F.lit("word:"), "i"), F.concat(F.lit("er"), "i")))
+    found = patterns.search(table(spark, sf_dir, "documents"), rules, "doc_id", "text", "rule", "pattern")
+    return found.select(F.col("key").alias("doc_id"), "rule", "hits")
