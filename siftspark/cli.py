@@ -21,22 +21,20 @@ from siftspark.validate import release
 
 def collected(spark: SparkSession, args: argparse.Namespace) -> dict:
     """A run on the state of the release that the pointer names, whose own state is kept with its release."""
-    releases = Releases(args.releases)
+    releases = Releases(args.releases, spark)
     pointer = releases.current()
-    before = spark.read.parquet(str(releases.state(pointer["release"]))) if pointer and releases.state(pointer["release"]).exists() else None
+    kept = releases.state(pointer["release"]) if pointer else None
+    before = spark.read.parquet(kept) if kept else None  # a state that the log names and that is gone is an error
     denied = registry.denylist(spark, Path(args.denylist).read_text()) if args.denylist else None
-    observed = str(releases.root / "observed" / re.sub("[^0-9A-Za-z]", "-", args.checked_at))
-    out = run.collect(spark, Path(args.registry).read_text(), spark.read.parquet(args.responses), before, releases, args.checked_at, place=observed, denied=denied)
-    if out["published"]:
-        out["state"].write.mode("overwrite").parquet(str(releases.state(out["release"])))
-    return out
+    observed = releases.store.place("observed/" + re.sub("[^0-9A-Za-z]", "-", args.checked_at))
+    return run.collect(spark, Path(args.registry).read_text(), spark.read.parquet(args.responses), before, releases, args.checked_at, place=observed, denied=denied)
 
 
 def artifact_violations(spark: SparkSession, releases: Releases, name: str, cap: int) -> DataFrame:
     """What of a release's files isn't as its manifest says; sizes are only bounded in total."""
-    place = releases.root / "releases" / name
-    declared = json.loads((place / "manifest.json").read_text())
-    files = inventory(spark, str(place)).withColumn("path", F.substring_index("path", f"/releases/{name}/", -1)).where("path <> 'manifest.json'").withColumn("sha256", F.concat(F.lit("sha256:"), "sha256"))
+    place = f"releases/{name}"
+    declared = json.loads(releases.store.read(f"{place}/manifest.json"))
+    files = inventory(spark, releases.store.place(place)).withColumn("path", F.substring_index("path", f"/releases/{name}/", -1)).where("path <> 'manifest.json'").withColumn("sha256", F.concat(F.lit("sha256:"), "sha256"))
     known = spark.createDataFrame(list(declared.items()), "path string, sha256 string")
     sized = known.join(files.select("path", "size"), "path", "left").select("path", "size", "sha256")
     return release.inventory(sized, files, cap)
@@ -66,14 +64,14 @@ def main(argv: list[str] | None = None) -> int:
     publish.add_argument("release")
     args = parser.parse_args(argv)
     try:
+        spark = local_session(4, 4, "siftspark")
         if args.command == "verify-release":
-            return 0 if Releases(args.releases).verified(args.release) else 1
+            return 0 if Releases(args.releases, spark).verified(args.release) else 1
         if args.command == "publish":
-            releases = Releases(args.releases)
+            releases = Releases(args.releases, spark)
             return 0 if releases.promote(args.release, releases.current()) else 1
-        spark = local_session(4, 4, "siftspark")
         if args.command == "verify-artifact":
-            broken = artifact_violations(spark, Releases(args.releases), args.release, args.cap).collect()
+            broken = artifact_violations(spark, Releases(args.releases, spark), args.release, args.cap).collect()
             print("\n".join(f"{r['key']}: {r['rule']}" for r in broken) or "valid")
             return int(bool(broken))
         if args.command == "validate-static":

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftspark.operators.numbering import numbered
+
 
 def best_per_group(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group; the order must end in a unique column.  Spark keeps one row a group and task before it
@@ -54,4 +56,4 @@ def unique_keys(df: DataFrame, source: str, key: str, order: list[str]) -> DataF
 def pinned_first(df: DataFrame, pinned: DataFrame, order: list[Column]) -> DataFrame:
     """Ranked rows behind a pinned one, numbered from 0."""
     rows = pinned.withColumn("_pin", F.lit(0)).unionByName(df.withColumn("_pin", F.lit(1)), allowMissingColumns=True)
-    return rows.withColumn("line", F.row_number().over(Window.orderBy("_pin", *order)) - 1).drop("_pin")
+    return numbered(rows, [F.asc("_pin"), *order], "line", 0).drop("_pin")

@@ -662,16 +662,17 @@ def other_release_links(spark, sf_dir):
     return src.select("source_id", urls.other_release(link, F.lit("g00000009")).alias("url"))
 
 
-_TEXTS = ["TLS handshake failed", "getaddrinfo: Name or service not known", "budget spent", "read timed out", "header has a control character", "Header not allowed", "credential in query key", "peer is private", "bad scheme", "plain HTTP", "other"]
+
+_KINDS = [*policy.ERROR_REASONS, "Unheard"]
 
 
 @query(
     "error_text_reasons",
-    f"""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN {_list(["private_address_rejected", "private_address_rejected", "private_address_rejected", "private_address_rejected", "invalid_header_syntax", "credential_header_rejected", "credential_query_rejected", "private_address_rejected", "dangerous_scheme_rejected", "client_http_disallowed", "private_address_rejected"])}[event_id % 11 + 1]
-ELSE {_list(["tls_failure", "dns_failure", "response_too_large", *["fetch_timeout"] * 8])}[event_id % 11 + 1] END AS reason FROM events""",
+    f"""SELECT event_id, CASE WHEN event_type = 'error' AND {_list(_KINDS)}[event_id % 11 + 1] IN ('SecretInHeader', 'MalformedHeader') THEN 'private_address_rejected' ELSE {_list([*policy.ERROR_REASONS.values(), "fetch_timeout"])}[event_id % 11 + 1] END AS reason FROM events""",
 )
 def error_text_reasons(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", policy.reason_of_error(_pick(_TEXTS, F.col("event_id")), F.col("event_id") % 2 == 0).alias("reason"))
+    """The failures that typed errors are; errors of the events' own kind stand for upstream fetches."""
+    return table(spark, sf_dir, "events").select("event_id", policy.reason_of_error(_pick(_KINDS, F.col("event_id")), F.col("event_type") == "error").alias("reason"))
 
 
 @query(

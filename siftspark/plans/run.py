@@ -93,7 +93,7 @@ def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previo
     if reasons:
         return result
     pointer = releases.current()
-    name = f"g{(pointer or {}).get('generation', 0) + 1:08d}"
+    name = releases.next_name()
     shown = {"checked_at": checked_at, "channels": [r.asDict() for r in channels.orderBy("channel_id").toLocalIterator()]}
-    releases.stage(name, {"live/live.m3u": playlist(winners), "health.json": canonical(shown)})
+    releases.stage(name, {"live/live.m3u": playlist(winners), "health.json": canonical(shown)}, state)
     return result | {"published": releases.promote(name, pointer), "release": name}

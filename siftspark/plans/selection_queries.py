@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siftspark import schemas as S
 from siftspark.functions import ids, media, policy
-from siftspark.operators import history, select
+from siftspark.operators import history, numbering, select
 from siftspark.plans.registry import query
 from siftspark.plans.tables import OBSERVATIONS, TECH, TECH_NAMES, observations
 from siftspark.session import table
@@ -200,7 +199,7 @@ SELECT source_id, publication_rank, has_stable, CAST(row_number() OVER (ORDER BY
 def line_rollup_min_rank(spark, sf_dir):
     place = policy.rank(F.col("l_returnflag"), ["A", "N", "R"])
     out = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("source_id")).agg(F.min(place).alias("publication_rank"), F.bool_or(F.col("l_quantity") >= 49).alias("has_stable"))
-    return out.withColumn("line", F.row_number().over(Window.orderBy("publication_rank", F.desc("has_stable"), "source_id")).cast("long"))
+    return numbering.numbered(out, [F.asc("publication_rank"), F.desc("has_stable"), F.asc("source_id")], "line").withColumn("line", F.col("line").cast("long"))
 
 
 @query(

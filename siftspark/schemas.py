@@ -31,18 +31,24 @@ FAILURES = [
     "catalog_depth_exceeded", "catalog_limit_exceeded",
 ]
 #: Failures that leave the technical status as it was.
-KEEPS_STATUS = [*FAILURES[:9], "catalog_limit_exceeded"]
+# Fixed values.
+KEEPS_STATUS = [
+    "takedown", "rights_restricted", "terms_changed", "credential_required", "credential_query_rejected", "credential_header_rejected",
+    "private_address_rejected", "dangerous_scheme_rejected", "invalid_header_syntax", "catalog_limit_exceeded",
+]
 #: Limits of the client: the entity works in part.
 # Fixed values.
 CLIENT_LIMITS = [
     "client_http_disallowed", "client_header_unsupported", "client_extension_unsupported", "unsupported_spider",
     "media_probe_failed", "catalog_depth_exceeded",
 ]
+# Fixed values.
 HARD_FAILURES = [
     "http_404", "http_410", "dns_failure", "tls_failure", "response_too_large", "invalid_json", "invalid_xml",
     "schema_incompatible", "home_contract_failed", "search_contract_failed", "detail_contract_failed", "play_contract_failed",
     "missing_upstream",
 ]
+# Fixed values.
 TEMPORARY_FAILURES = ["rate_limited", "upstream_5xx", "fetch_timeout"]
 # Fixed values.
 REJECTING = [

@@ -71,7 +71,7 @@ class _Compiler:
             ("pattern", lambda x: is_("string") & ~text.rlike(x), "pattern"), ("minLength", lambda x: is_("string") & (F.length(text) < x), "minLength"), ("maxLength", lambda x: is_("string") & (F.length(text) > x), "maxLength"),
             ("format", lambda x: is_("string") & ~text.rlike(_FORMATS[x]), "format"), ("minimum", lambda x: is_("integer", "number") & (number < x), "minimum"), ("maximum", lambda x: is_("integer", "number") & (number > x), "maximum"),
             ("minItems", lambda x: is_("array") & (F.size(items) < x), "minItems"), ("maxItems", lambda x: is_("array") & (F.size(items) > x), "maxItems"),
-            ("uniqueItems", lambda x: F.lit(x) & is_("array") & (F.size(F.array_distinct(F.transform(items, F.to_json))) < F.size(items)), "uniqueItems"),
+            ("uniqueItems", lambda x: F.lit(x) & is_("array") & (F.size(F.array_distinct(F.transform(items, lambda y: F.to_json(y)))) < F.size(items)), "uniqueItems"),
             ("minProperties", lambda x: is_("object") & (F.size(names) < x), "minProperties"),
         ]
         for keyword, bad, rule in tests:

@@ -146,20 +146,80 @@ def test_cli_carries_state_applies_the_denylist_and_verifies(spark, recorded, tm
     assert cli.main(["verify-release", str(tmp_path / "r"), "g00000002"]) == 1
 
 
-def test_two_writers_of_one_generation(tmp_path):
+def test_two_writers_of_one_generation(spark, tmp_path):
+    one, two = Releases(tmp_path), Releases(tmp_path)
+    for w, body in ((one, b"1"), (two, b"2")):
+        w.stage("a", {"x": body})
+    assert two.promote("a", None) and not one.promote("a", None)
+    assert (tmp_path / "releases/a/x").read_bytes() == b"2" and one.current() == two.current() == {"release": "a", "generation": 1, "previous": None}
+    assert len(one.leftovers()) == 1 and one.leftovers()[0].startswith("staging/a-")
+    one.stage("b", {"x": b"3"})
+    two.stage("c", {"x": b"4"})
+    seen = one.current()
+    assert two.promote("c", seen) and not one.promote("b", seen) and one.promote("b", one.current())
+    assert one.current() == {"release": "b", "generation": 3, "previous": "c"}
+    assert two.rollback() and two.current() == {"release": "c", "generation": 4, "previous": None} and not two.rollback()
+    assert not two.remove("c") and two.remove("b") and "b" not in two.log.state().releases and not (tmp_path / "releases/b").exists()
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["stage", "write", "commit", "move", "after"])
+def test_a_writer_that_dies_blocks_nobody(spark, tmp_path, monkeypatch, step):
+    from siftspark.sinks import commitlog
+
+    first = Releases(tmp_path)
+    first.stage("a", {"x": b"1"}, spark.range(1))
+    assert first.promote("a", None)
+
+    def die(*_, **__):
+        raise Died
+
+    with monkeypatch.context() as m:
+        writer = Releases(tmp_path)
+        if step == "stage":  # some files of the attempt are there, its manifest isn't
+            create = commitlog.Store.create
+            m.setattr(commitlog.Store, "create", lambda self, name, data: die() if name.endswith("manifest.json") else create(self, name, data))
+        with pytest.raises(Died):
+            writer.stage("b", {"x": b"2"}, spark.range(2))
+            if step == "write":  # the commit's file was written and not named
+                m.setattr(commitlog.Store, "move", die)
+            if step == "commit":
+                m.setattr(commitlog.CommitLog, "commit", die)
+            if step == "move":  # committed; the release hasn't got its name yet
+                move = commitlog.Store.move
+                m.setattr(commitlog.Store, "move", lambda self, a, b: die() if b.startswith("releases/") else move(self, a, b))
+            writer.promote("b", writer.current())
+            die()
+    done = step in ("move", "after")
+    other = Releases(tmp_path)
+    assert other.current() == ({"release": "b", "generation": 2, "previous": "a"} if done else {"release": "a", "generation": 1, "previous": None})
+    assert other.verified(other.current()["release"]) and spark.read.parquet(other.state(other.current()["release"])).count() == (2 if done else 1)
+    name = "c" if done else "b"
+    other.stage(name, {"x": b"3"})
+    assert other.promote(name, other.current()) and (tmp_path / f"releases/{name}/x").read_bytes() == b"3"
+
+
+def test_a_claim_of_the_old_layout_blocks_nobody(spark, tmp_path):
     releases = Releases(tmp_path)
     releases.stage("a", {"x": b"1"})
     (tmp_path / "claims").mkdir()
-    (tmp_path / "claims/00000001").touch()  # another writer has begun to move the pointer
-    assert not releases.promote("a", None) and releases.current() is None
+    (tmp_path / "claims/00000001").touch()
+    assert releases.promote("a", None)
 
 
-def test_static_and_xml_sites_and_bodies_that_are_no_media():
+def test_static_and_xml_sites_and_bodies_that_are_no_media(spark):
     fetch = lambda rows: responses.Recorded({(r[0], r[1]): dict(zip(["url", "with_headers", "status", "body", "final_url", "elapsed_ms", "error"], r, strict=True)) for r in rows})
     api = "https://s.example.test/api"
-    assert probe.probe_static(fetch([response(api, "{}")]), api)["technical_status"] == "partial"
-    assert probe.probe_static(fetch([]), "http://s.example.test/")["failure_reason"] == "client_http_disallowed"
-    assert probe.probe_static(fetch([]), api + "?to_ken=1")["failure_reason"] == "credential_query_rejected"
+    sites = spark.createDataFrame([("ok", api), ("lost", api + "2"), ("plain", "http://s.example.test/"), ("key", api + "?to_ken=1"), ("jar", "https://s.example.test/a.jar"), ("page", api + "3"), ("bytes", api + "4")], "entity_id string, api string")
+    bodies = fetch([response(api, "{}"), response(api + "3", "<html><title>404 not found"), (api + "4", False, 200, bytearray(b"\xff"), api + "4", 1, None)])
+    got = {r["entity_id"]: (r["technical_status"], r["failure_reason"]) for r in probe.static_sites(sites, bodies).collect()}
+    assert got == {
+        "ok": ("partial", None), "lost": (None, "dns_failure"), "plain": (None, "client_http_disallowed"), "key": (None, "credential_query_rejected"), "jar": (None, "unsupported_spider"),
+        "page": (None, "home_contract_failed"), "bytes": (None, "schema_incompatible"),
+    }
     xml = '<rss><class><ty id="1">t</ty></class><list><video><id>7</id><name>A</name><dl><dd flag="f">e$https://h.example.test/m.m3u8</dd></dl></video></list></rss>'
     pages = [response(f"{api}?ac={q}", xml) for q in ("list", "list&wd=A", "detail&ids=7")]
     assert probe.probe_site(fetch(pages + stream("https://h.example.test")), api, False)["technical_status"] == "healthy"
