@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by sorted projection passes.
 
-Equal vectors of a label are one.  In every pass vectors of a label are ordered by the signs of their random projections and
-compared with their neighbours within a bounded window; pairs that reach the cosine threshold are united across passes, of
-which there are more the more vectors a label has.  Links are then counted exactly
+Equal vectors of a label are one.  In every pass vectors of a label are ordered by the signs of their random projections, taken from
+the label's centre, and compared with their neighbours within a bounded window; pairs that reach the cosine threshold are united across
+passes.  Each label has passes of its own: at first as many as a model of its size and of how far its vectors share a direction
+asks for, then more until planted partners of some of its vectors, at just the threshold, are found.  Links are then counted exactly
 inside each united component: vectors within half the threshold's angle of the component's centre are all linked to each
 other without being compared, and the rest are compared with the whole component in blocks.
 """
@@ -19,15 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.llm import textkit as tk
-from siftspark.llm.common import written
+from siftspark.llm.common import forget, written
 from siftspark.llm.graph import HUB, SHARE, components
 
 THRESHOLD = 0.93
-#: Share of lone pairs at the threshold that the passes are to find.  A pass of this window finds 0.39 of them among 10,000
-#: vectors of a label and 10^0.19 times fewer for each ten times as many (modelled for 64 dimensions up to 10^7 vectors).
-RECALL = 0.995
-FOUND, AMONG, POWER = 0.39, 10_000, 0.19
-LEAST_PASSES = 10
+#: Share of lone pairs at the threshold that the passes are to find; the share of planted pairs that has to be found.
+RECALL, PLANTED = 0.999, 0.99
+#: Planted pairs of a label, about; passes of a label at first, and at most before it is an error.
+PROBES, LEAST_PASSES, MOST_PASSES = 256, 10, 4096
 BITS = 40
 WINDOW = 32
 #: Vectors of a component that one task compares with as many others.
@@ -35,13 +35,17 @@ BLOCK = 2048
 
 
 
-def passes_for(n: int, recall: float = RECALL) -> int:
-    """Passes for a label of n vectors."""
-    once = min(0.9, FOUND * (max(n, 1) / AMONG) ** -POWER)
-    return max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - once)))
+def passes_for(n: int, shared: float = 0.0, threshold: float = THRESHOLD, recall: float = RECALL, window: int = WINDOW) -> int:
+    """Passes for a label of n vectors whose mean cosine to each other is ``shared``.
 
+    From the centre a pair at the threshold has the cosine (threshold - shared) / (1 - shared), so its vectors stand on one side of a plane
+    with chance 1 - angle / pi; they have to for as many planes as leave a window of the label's vectors."""
+    apart = math.acos(max(-1.0, min(1.0, (threshold - shared) / max(1 - shared, 1e-9)))) / math.pi
+    once = min(0.9, 1.1 * (1 - apart) ** max(0.0, math.log2(max(n, 1) / window)))
+    return min(MOST_PASSES // 4, max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - once))))
 
-_ROW = "pass int, grp string, dim int, code long, id long, v binary"
+
+_ROW = "pass int, grp string, dim int, code long, id long, probe boolean, v binary"
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -71,7 +75,32 @@ def _packed(kind: str):
     return run
 
 
-def _projected(passes: int, bits: int, kind: str):
+def _partner(x: np.ndarray, key: int, threshold: float) -> np.ndarray:
+    """A vector of a unit vector at just the threshold, in a direction that its key chooses."""
+    u = np.random.RandomState(key % (1 << 32)).standard_normal(len(x))
+    u -= (u @ x) * x
+    t = threshold + 1e-3
+    return t * x + math.sqrt(1 - t * t) * u / max(np.linalg.norm(u), 1e-300)
+
+
+def _planned(threshold: float, window: int):
+    """(cell, mean, vectors, passes) from sums of unit vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_pylist()
+            mean = [np.frombuffer(v, np.float64) / k for v, k in zip(batch.column(1).to_pylist(), n, strict=True)]
+            # The mean's square is the mean cosine of all pairs, each vector with itself included.
+            shared = [max(0.0, (k * float(m @ m) - 1) / (k - 1)) if k > 1 else 0.0 for m, k in zip(mean, n, strict=True)]
+            passes = [passes_for(k, min(s, threshold - 0.01), threshold, window=window) for s, k in zip(shared, n, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m.tobytes() for m in mean], pa.binary()), batch.column(2), pa.array(passes, pa.int32())], names=["cell", "c", "n", "passes"])
+
+    return run
+
+
+def _projected(bits: int, kind: str, threshold: float):
+    """Each vector with its code in each of its label's passes from ``begin`` to ``passes``; a probe's row stands for its planted partner."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
@@ -80,12 +109,21 @@ def _projected(passes: int, bits: int, kind: str):
                 for dim in np.unique(dims).tolist():
                     sub = part.take(pa.array(np.flatnonzero(dims == dim)))
                     x = _vectors(sub.column("v").to_pylist(), kind)
-                    for p in range(passes):
+                    probe = np.flatnonzero(sub.column("probe").to_numpy(zero_copy_only=False))
+                    for i, key in zip(probe.tolist(), sub.column("id").take(pa.array(probe)).to_pylist(), strict=True):
+                        x[i] = _partner(x[i], key, threshold)
+                    x = x - np.frombuffer(b"".join(sub.column("c").to_pylist()), np.float64).reshape(len(x), -1)
+                    begin, end = sub.column("begin").to_numpy(), sub.column("passes").to_numpy()
+                    for p in range(int(begin.min()), int(end.max())):
+                        live = np.flatnonzero((begin <= p) & (p < end))
+                        if not len(live):
+                            continue
                         plane = np.random.RandomState(1000 * p + 17).standard_normal((dim, bits))
-                        code = ((x @ plane) > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                        code = ((x[live] @ plane) > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                        own = sub.take(pa.array(live))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(x), p, np.int32)), sub.column("grp"), sub.column("dim"), pa.array(code), sub.column("id"), sub.column("v")],
-                            names=["pass", "grp", "dim", "code", "id", "v"],
+                            [pa.array(np.full(len(live), p, np.int32)), own.column("grp"), own.column("dim"), pa.array(code), own.column("id"), own.column("probe"), own.column("v")],
+                            names=["pass", "grp", "dim", "code", "id", "probe", "v"],
                         )
 
     return run
@@ -113,11 +151,11 @@ class _Forest:
 
 
 def _neighbours(threshold: float, window: int, borders: bool, kind: str):
-    """Links between sorted rows within the window; with borders also the partition's first and last rows, which the next
-    partition's rows may link to."""
+    """Links between sorted rows within the window (kind 0), and planted pairs within it (kind 3); with borders also the partition's first
+    and last rows, which the next partition's rows may link to.  A probe links with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "slot", "a", "b", "pass", "grp", "dim", "code", "id", "v"]
+        names = ["kind", "slot", "a", "b", "pass", "grp", "dim", "code", "id", "probe", "v"]
         part = TaskContext.get().partitionId()
         tail, head = None, 0
 
@@ -145,24 +183,27 @@ def _neighbours(threshold: float, window: int, borders: bool, kind: str):
                 for k in keys:
                     new[1:] |= k[1:] != k[:-1]
                 run_ = np.cumsum(new)
-                dims = rows.column("dim").to_numpy()
-                links = []
+                dims, probe = rows.column("dim").to_numpy(), rows.column("probe").to_numpy(zero_copy_only=False).astype(bool)
+                links, met = [], []
                 for dim in np.unique(dims).tolist():
                     own = np.flatnonzero(dims == dim)
                     x = _vectors(rows.column("v").take(pa.array(own)).to_pylist(), kind)
                     for k in range(1, min(window, len(own) - 1) + 1):
-                        same = np.flatnonzero((run_[own[k:]] == run_[own[:-k]]) & (own[k:] >= fresh) & (ids[own[k:]] != ids[own[:-k]]))
+                        there = (run_[own[k:]] == run_[own[:-k]]) & (own[k:] >= fresh)
+                        met += ids[own[k:][there & (ids[own[k:]] == ids[own[:-k]]) & (probe[own[k:]] != probe[own[:-k]])]].tolist()
+                        same = np.flatnonzero(there & (ids[own[k:]] != ids[own[:-k]]) & ~probe[own[k:]] & ~probe[own[:-k]])
                         near = same[np.einsum("ij,ij->i", x[same + k], x[same]) >= threshold]
                         links += zip(ids[own[near]].tolist(), ids[own[near + k]].tolist(), strict=True)
                 forest = _Forest()
                 links = [x for x in links if forest.joins(*x)]
-                if links:
-                    m = len(links)
-                    empty = [pa.nulls(m, t) for t in (pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.zeros(m, np.int32)), pa.array(np.zeros(m, np.int32)), pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64()), *empty],
-                        names=names,
-                    )
+                for what, pairs in ((0, links), (3, [(i, i) for i in set(met)])):
+                    m = len(pairs)
+                    if m:
+                        empty = [pa.nulls(m, t) for t in (pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(m, what, np.int32)), pa.array(np.zeros(m, np.int32)), pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64()), *empty],
+                            names=names,
+                        )
                 tail = rows.slice(max(0, n - window))
         if borders and tail is not None:
             yield border(tail, 1, part)
@@ -170,15 +211,15 @@ def _neighbours(threshold: float, window: int, borders: bool, kind: str):
     return run
 
 
-def _sums(kind: str | None):
-    """Sums of unit vectors by component over what a task reads; without a kind, of sums in double precision."""
+def _sums(kind: str | None, name: str = "component", type_: pa.DataType | None = None):
+    """Sums of unit vectors by component (or another key) over what a task reads; without a kind, of sums in double precision."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+        found: dict = {}
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.int64()), pa.array([x[0].tobytes() for x in found.values()], pa.binary()), pa.array([x[1] for x in found.values()], pa.int64())], names=["component", "v", "n"]
+                [pa.array(list(found), type_ or pa.int64()), pa.array([x[0].tobytes() for x in found.values()], pa.binary()), pa.array([x[1] for x in found.values()], pa.int64())], names=[name, "v", "n"]
             )
 
         for batch in tk.parts(batches):
@@ -230,6 +271,51 @@ def _compared(threshold: float, kind: str):
     return run
 
 
+def _links(valid: DataFrame, kind: str, threshold: float, passes: int | None, bits: int, window: int) -> DataFrame:
+    """(a, b) links found by the passes; labels whose planted pairs aren't found get as many passes again, until they are.
+
+    With ``passes`` given all labels have so many, and nothing is planted."""
+    cell = F.concat_ws(":", F.col("dim").cast("string"), "grp")
+    celled = valid.select("id", "grp", "dim", "v", cell.alias("cell"))
+    sums = celled.select("cell", "v", F.lit(1).cast("long").alias("n")).mapInArrow(_sums(kind, "cell", pa.string()), "cell string, v binary, n long")
+    sums = sums.repartition("cell").sortWithinPartitions("cell").mapInArrow(_sums(None, "cell", pa.string()), "cell string, v binary, n long")
+    # Rows come sorted by cell, so each cell is one row of sums.
+    plan = written(sums.mapInArrow(_planned(threshold, window), "cell string, c binary, n long, passes int"))
+    if passes is not None:
+        plan = plan.withColumn("passes", F.lit(passes))
+    plan = plan.withColumn("begin", F.lit(0))
+    sort, schema = ["pass", "grp", "dim", "code", "id", "probe"], f"kind int, slot int, a long, b long, {_ROW}"
+    links, held, most = None, None, 0
+    probed = (F.lit(passes is None) & (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < F.lit(PROBES) * F.lit(float(1 << 30)) / F.col("n"))).alias("chosen")
+    while True:
+        placed = celled.join(plan, "cell").select("*", probed)
+        places = placed.withColumn("probe", F.explode(F.when(F.col("chosen"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        places = places.select("id", "grp", "dim", "v", "c", "begin", "passes", "probe")
+        found = written(
+            places.mapInArrow(_projected(bits, kind, threshold), _ROW).repartitionByRange(*sort).sortWithinPartitions(*sort)
+            .mapInArrow(_neighbours(threshold, window, True, kind), schema)
+        )
+        borders = found.where("kind in (1, 2)")
+        across = borders.repartition("slot").sortWithinPartitions("slot", *sort).mapInArrow(_neighbours(threshold, window, False, kind), schema)
+        every = written(found.where("kind in (0, 3)").select("kind", "a", "b").unionByName(across.where("kind in (0, 3)").select("kind", "a", "b")))
+        forget(found)
+        own = every.where("kind = 0").select("a", "b")
+        links = own if links is None else links.unionByName(own)
+        if passes is not None:
+            return links
+        met = every.where("kind = 3").select(F.col("a").alias("id"))
+        held = met if held is None else held.unionByName(met)
+        hit = held.groupBy("id").agg(F.lit(1).alias("hit"))
+        counts = placed.where("chosen").select("id", "cell").join(hit, "id", "left").groupBy("cell").agg(F.count("*").alias("planted"), F.count("hit").alias("seen"))
+        short = counts.where(F.col("seen") < F.lit(PLANTED) * F.col("planted")).select("cell")
+        plan = written(plan.join(short, "cell", "left_semi").select("cell", "c", "n", F.col("passes").alias("begin"), (F.col("passes") * 2).alias("passes")))
+        most = plan.agg(F.max("passes")).first()[0]
+        if most is None:
+            return links
+        if most > MOST_PASSES:
+            raise RuntimeError(f"planted pairs of a label aren't found by {most // 2} passes")
+
+
 def near_duplicates(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
     threshold: float = THRESHOLD, passes: int | None = None, bits: int = BITS, window: int = WINDOW, block: int = BLOCK,
@@ -249,20 +335,7 @@ def near_duplicates(
     valid = valid.groupBy("id").agg(F.min(F.struct("grp", "x")).alias("s")).select("id", "s.grp", "s.x")
     single = written(valid.mapInArrow(_packed(kind), "id long, grp string, dim int, v binary"))
     valid = written(single.groupBy("grp", "dim", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    if passes is None:
-        passes = passes_for(valid.groupBy("grp").count().agg(F.max("count")).first()[0] or 0)
-    places = valid.select("id", "grp", "dim", "v")
-    sort = ["pass", "grp", "dim", "code", "id"]
-    found = written(
-        places.mapInArrow(_projected(passes, bits, kind), _ROW).repartitionByRange(*sort).sortWithinPartitions(*sort)
-        .mapInArrow(_neighbours(threshold, window, True, kind), f"kind int, slot int, a long, b long, {_ROW}")
-    )
-    borders = found.where("kind > 0")
-    across = (
-        borders.repartition("slot").sortWithinPartitions("slot", *sort)
-        .mapInArrow(_neighbours(threshold, window, False, kind), f"kind int, slot int, a long, b long, {_ROW}")
-    )
-    groups = components(found.where("kind = 0").select("a", "b").unionByName(across.select("a", "b")))
+    groups = components(_links(valid, kind, threshold, passes, bits, window))
 
     members = written(valid.select("id", "v", "copies").join(groups, "id"))
     partial = members.select("component", "v", F.lit(1).cast("long").alias("n")).mapInArrow(_sums(kind), "component long, v binary, n long")

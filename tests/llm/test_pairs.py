@@ -303,3 +303,27 @@ def test_chain_is_the_best_of_all_orders():
             return max([value(path), *more])
 
         assert np.isclose(max(value(p) for p in got), max(best([i]) for i in range(n)))
+
+
+@pytest.mark.parametrize(("base", "size"), [(0.0, 2000), (0.5, 6000), (0.8, 3000)])
+def test_recall_on_vectors_that_share_a_direction(spark, base, size):
+    """Lone pairs at cosine 0.935 among vectors of one label whose unrelated cosine is ``base``, beside a label that shares nothing."""
+    rng, d, k = np.random.RandomState(5), 64, 300
+    m = rng.randn(d)
+    m /= np.linalg.norm(m)
+
+    def apart(n):
+        r = rng.randn(n, d)
+        r -= (r @ m)[:, None] * m
+        return r / np.linalg.norm(r, axis=1, keepdims=True)
+
+    x = np.sqrt(base) * m + np.sqrt(1 - base) * apart(size)
+    u, y = apart(k), x[:k]
+    u -= np.einsum("ij,ij->i", u, y)[:, None] * y
+    z = 0.935 * y + np.sqrt(1 - 0.935**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    v = np.concatenate([x, z])
+    rows = [(i, r.tolist(), "a") for i, r in enumerate(v)] + [(len(v) + i, r.tolist(), "b") for i, r in enumerate(rng.randn(50, d))]
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    want = sum(int((v @ v[i] >= 0.93).sum()) - 1 for i in [*range(k), *range(size, size + k)])
+    assert sum(got[i] for i in [*range(k), *range(size, size + k)]) >= 0.99 * want
+    assert len(got) == len(rows)
