@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from siftspark.operators import crawl, names, numbering, patterns, redirects, walk
 from siftspark.plans.registry import query
-from siftspark.session import table
+from siftspark.plans.tables import OBSERVATIONS, observed
+from siftspark.session import shared_place, table
+from siftspark.streaming import tracker
 from siftspark.validate import schema
 
 #: A document's path in its source's repository is its third word; of several documents of a path the first is the file.
@@ -165,3 +169,17 @@ def texts_with_patterns(spark, sf_dir):
     rules = rules.union(digits.select(F.concat(F.lit("mail:"), "i"), F.concat(F.lit("@mail"), "i", F.lit(".example.com")))).union(digits.select(F.concat(F.lit("word:"), "i"), F.concat(F.lit("er"), "i")))
     found = patterns.search(table(spark, sf_dir, "documents"), rules, "doc_id", "text", "rule", "pattern")
     return found.select(F.col("key").alias("doc_id"), "rule", "hits")
+
+
+@query(
+    "tracked_streaks",
+    f"""WITH {OBSERVATIONS}, a AS (SELECT *, technical_status = 'healthy' AS ok, sum(CASE WHEN technical_status = 'healthy' THEN 0 ELSE 1 END) OVER w AS breaks, sum(CASE WHEN technical_status = 'healthy' THEN 1 ELSE 0 END) OVER w AS wins,
+  max(CASE WHEN technical_status = 'healthy' THEN ts END) OVER w AS last_at FROM obs WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY entity_id ORDER BY ts, event_id))
+SELECT event_id, CAST(CASE WHEN ok THEN row_number() OVER (PARTITION BY entity_id, breaks, ok ORDER BY ts, event_id) ELSE 0 END AS BIGINT) AS consecutive_successes,
+  CAST(CASE WHEN ok THEN 0 ELSE row_number() OVER (PARTITION BY entity_id, wins, ok ORDER BY ts, event_id) END AS BIGINT) AS consecutive_failures, CAST(epoch_us(last_at) AS BIGINT) AS last_success_us FROM a""",
+)
+def tracked_streaks(spark, sf_dir):
+    """Streaks after every observation, by keyed state in a stream."""
+    convert = lambda rows: observed(rows).where("ts is not null").withColumn("ts", F.col("ts").cast("timestamp"))
+    states = tracker.replayed(spark, f"{sf_dir}/events.parquet", convert, f"{shared_place(spark)}/tracked-{uuid.uuid4().hex}", late="36500 days")
+    return states.select("event_id", "consecutive_successes", "consecutive_failures", F.unix_micros("last_success_at").alias("last_success_us"))

@@ -20,7 +20,12 @@ def _case(column: str, values: dict[str, str]):
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as probe observations."""
-    return table(spark, sf_dir, "events").select(
+    return observed(table(spark, sf_dir, "events"))
+
+
+def observed(events: DataFrame) -> DataFrame:
+    """Rows of events, of a table or a stream, as probe observations."""
+    return events.select(
         "event_id", "ts", F.to_date("ts").alias("day"), F.col("user_id").alias("entity_id"),
         _case("event_type", STATUS).alias("technical_status"), _case("event_type", REASON).alias("failure_reason"),
         F.floor(F.coalesce("value", F.lit(0.0))).cast("long").alias("latency"),

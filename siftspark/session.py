@@ -25,10 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_place(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one is named only where the session names none."""
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (place or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows with their lineage cut, in the checkpoint folder of the session; one is set only where none is."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.sparkContext.setCheckpointDir(place)
+    """The rows with their lineage cut, in the shared folder of the session."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_place(df.sparkSession))
     return df.checkpoint(eager=True)
