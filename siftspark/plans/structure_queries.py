@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
 from pyspark.sql import functions as F
 
-from siftspark.operators import crawl, names, numbering, patterns, redirects, walk
+from siftspark.functions import decode
+from siftspark.operators import crawl, merkle, names, numbering, patterns, redirects, walk
 from siftspark.plans.registry import query
 from siftspark.plans.tables import OBSERVATIONS, observed
 from siftspark.session import shared_place, table
@@ -183,3 +185,59 @@ def tracked_streaks(spark, sf_dir):
     convert = lambda rows: observed(rows).where("ts is not null").withColumn("ts", F.col("ts").cast("timestamp"))
     states = tracker.replayed(spark, f"{sf_dir}/events.parquet", convert, f"{shared_place(spark)}/tracked-{uuid.uuid4().hex}", late="36500 days")
     return states.select("event_id", "consecutive_successes", "consecutive_failures", F.unix_micros("last_success_at").alias("last_success_us"))
+
+
+@query(
+    "merkle_levels",
+    r"""WITH f AS (SELECT 'texts/' || doc_id AS path, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+l AS (SELECT substr(sha256(path), 1, 2) AS prefix, sha256(string_agg(path || chr(0) || sha256, chr(10) ORDER BY path || chr(0) || sha256)) AS digest, count(*) AS files FROM f GROUP BY 1),
+m AS (SELECT substr(prefix, 1, 1) AS prefix, sha256(string_agg(prefix || ':' || digest, chr(10) ORDER BY prefix)) AS digest, CAST(sum(files) AS BIGINT) AS files FROM l GROUP BY 1),
+r AS (SELECT '' AS prefix, sha256(string_agg(prefix || ':' || digest, chr(10) ORDER BY prefix)) AS digest, CAST(sum(files) AS BIGINT) AS files FROM m)
+SELECT 2 AS level, prefix, digest, files FROM l UNION ALL SELECT 1, prefix, digest, files FROM m UNION ALL SELECT 0, prefix, digest, files FROM r""",
+)
+def merkle_levels(spark, sf_dir):
+    """The tree over all texts as files, two digits deep."""
+    return merkle.tree(_files(table(spark, sf_dir, "documents"), F.col("text")), 2)
+
+
+def _files(docs, content):
+    return docs.where("text is not null and doc_id is not null").select(F.concat(F.lit("texts/"), F.col("doc_id").cast("string")).alias("path"), F.sha2(content, 256).alias("sha256"))
+
+
+@query(
+    "merkle_changes",
+    """SELECT 'texts/' || doc_id AS path, CASE WHEN doc_id % 97 = 5 THEN 'removed' ELSE 'changed' END AS change FROM documents WHERE text IS NOT NULL AND (doc_id % 97 = 5 OR doc_id % 101 = 7)""",
+)
+def merkle_changes(spark, sf_dir):
+    """Which texts differ between all of them and a copy in which some are missing and some have a full stop more, found from the roots down."""
+    docs = table(spark, sf_dir, "documents")
+    one = _files(docs, F.col("text"))
+    two = _files(docs.where("doc_id % 97 <> 5"), F.when(F.col("doc_id") % 101 == 7, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    leaves = merkle.changed_leaves(merkle.tree(one, 3), merkle.tree(two, 3), 3)
+    return merkle.changed_files(one, two, leaves, 3)
+
+
+@query(
+    "bounded_bodies",
+    """SELECT doc_id, CASE WHEN doc_id % 5 = 4 THEN 'unsupported_encoding' WHEN doc_id % 7 = 3 AND doc_id % 5 <> 0 THEN 'truncated_body' WHEN strlen(text) > 20000 THEN 'response_too_large' END AS reason,
+CASE WHEN doc_id % 5 <> 4 AND NOT (doc_id % 7 = 3 AND doc_id % 5 <> 0) AND strlen(text) <= 20000 THEN sha256(text) END AS sha256 FROM documents WHERE length(text) > 0""",
+)
+def bounded_bodies(spark, sf_dir):
+    """Texts as bodies under an encoding each, some cut short, decoded within 20,000 bytes."""
+    docs = table(spark, sf_dir, "documents").where("length(text) > 0").select("doc_id", F.col("text").cast("binary").alias("body"))
+    kind = F.element_at(F.array(*map(F.lit, ["identity", "GZIP ", "deflate", "raw", "br"])), (F.col("doc_id") % 5 + 1).cast("int"))
+
+    def packed(batches):
+        for pdf in batches:
+            bodies = []
+            for key, body, name in zip(pdf["doc_id"], pdf["body"], pdf["kind"], strict=True):
+                bits = {"GZIP ": 31, "deflate": 15, "raw": -15}.get(name)
+                engine = zlib.compressobj(wbits=bits) if bits else None
+                sent = engine.compress(bytes(body)) + engine.flush() if engine else bytes(body)
+                bodies.append(sent[: max(2, len(sent) - 9)] if key % 7 == 3 and engine else sent)
+            yield pdf.assign(body=bodies)
+
+    sent = docs.withColumn("kind", kind).mapInPandas(packed, "doc_id long, body binary, kind string")
+    name = F.when(F.col("kind") == "raw", "deflate").when(F.col("kind") != "identity", F.col("kind"))
+    read = sent.select("doc_id", decode.decoded(F.col("body"), name, 1 << 30, 20_000).alias("d"))
+    return read.select("doc_id", "d.reason", F.when(F.col("d.body").isNotNull(), F.sha2("d.body", 256)).alias("sha256"))

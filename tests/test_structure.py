@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftspark.operators import crawl, names, numbering, patterns, redirects, walk
+from siftspark.operators import crawl, merkle, names, numbering, patterns, redirects, walk
 from siftspark.validate import schema
 
 RAW, PAGE = "raw.example.test", "git.example.test"
@@ -194,3 +194,51 @@ def test_automaton_finds_overlaps_and_suffixes():
     built = patterns.Automaton([b"he", b"she", b"hers", b"e"])
     end, which = built.hits(np.frombuffer(b"ushershe", np.uint8), np.array([0, 6]))
     assert sorted(zip(end.tolist(), which.tolist(), strict=True)) == [(4, 0), (4, 1), (4, 3), (6, 2), (8, 0), (8, 3)]
+
+
+def test_merkle_tree_equals_brute_force_and_finds_changes(spark):
+    import hashlib
+
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    files = {f"d/{i}": sha(str(i)) for i in range(300)}
+    df = lambda f: spark.createDataFrame([*f.items(), (None, "x"), ("y", None)], "path string, sha256 string")
+    level = {}
+    for p, s in files.items():
+        level.setdefault(sha(p)[:2], []).append(f"{p}\0{s}")
+    level = {k: (sha("\n".join(sorted(v))), len(v)) for k, v in level.items()}
+    want = {(2, k, *v) for k, v in level.items()}
+    for n in (1, 0):
+        up = {}
+        for k, v in level.items():
+            up.setdefault(k[:n], []).append((f"{k}:{v[0]}", v[1]))
+        level = {k: (sha("\n".join(sorted(x for x, _ in v))), sum(c for _, c in v)) for k, v in up.items()}
+        want |= {(n, k, *v) for k, v in level.items()}
+    assert {tuple(r) for r in merkle.tree(df(files), 2).collect()} == want
+    other = {p: s for p, s in files.items() if p != "d/7"} | {"d/9": "z", "new": "n"}
+    one, two = merkle.tree(df(files), 2), merkle.tree(df(other), 2)
+    leaves = merkle.changed_leaves(one, two, 2)
+    assert {r["prefix"] for r in leaves.collect()} == {sha(p)[:2] for p in ("d/7", "d/9", "new")}
+    assert {tuple(r) for r in merkle.changed_files(df(files), df(other), leaves, 2).collect()} == {("d/7", "removed"), ("d/9", "changed"), ("new", "added")}
+    assert merkle.changed_leaves(one, one, 2).count() == 0 and merkle.tree(df({}), 2).count() == 0
+    assert [merkle.depth_for(n) for n in (0, 512, 513, 512 * 16, 512 * 16 + 1)] == [1, 1, 1, 1, 2]
+
+
+def test_bodies_within_bounds(spark):
+    import gzip
+    import zlib
+
+    from siftspark.functions import decode
+
+    text = b"some text " * 1000
+    raw = zlib.compressobj(wbits=-15)
+    raw = raw.compress(text) + raw.flush()
+    bomb = gzip.compress(b"\0" * 50_000_000)
+    cases = [
+        (text, None, text, None), (text, " ", text, None), (text, "Identity", text, None), (gzip.compress(text), "gzip", text, None), (gzip.compress(text) + gzip.compress(b"more"), "GZIP", text + b"more", None), (zlib.compress(text), "deflate", text, None),
+        (raw, "deflate", text, None), (gzip.compress(text)[:-9], "gzip", None, "truncated_body"), (zlib.compress(text)[:-20], "deflate", None, "truncated_body"), (b"no gzip", "gzip", None, "invalid_encoding"), (b"", "gzip", None, "truncated_body"), (text, "br", None, "unsupported_encoding"),
+        (bomb, "gzip", None, "response_too_large"), (b"x" * 20_001, None, None, "response_too_large"), (b"x" * 200_000, "gzip", None, "response_too_large"), (None, "gzip", None, None), (b"", None, b"", None),
+    ]
+    df = spark.createDataFrame([(i, bytearray(b) if b is not None else None, e) for i, (b, e, _, _) in enumerate(cases)], "i int, b binary, e string")
+    got = {r["i"]: (bytes(r["d"]["body"]) if r["d"]["body"] is not None else None, r["d"]["reason"]) for r in df.select("i", decode.decoded(F.col("b"), F.col("e"), 100_000, 20_000).alias("d")).collect()}
+    assert got == {i: (want, why) for i, (_, _, want, why) in enumerate(cases)}
+    assert decode.inflated(gzip.compress(b""), "gzip", 10) == (b"", None)
