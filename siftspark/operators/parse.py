@@ -251,6 +251,8 @@ def hls(texts: pd.Series) -> pd.DataFrame:
         if not lines or lines[0] != "#EXTM3U":
             return none
         for i, line in enumerate(lines[:-1]):
+            if lines[i + 1].startswith("#"):  # a tag, not the address that the line before it announces
+                continue
             if line.startswith("#EXT-X-STREAM-INF:"):
                 found = dict(re.findall(r'([A-Z0-9-]+)=("[^"]*"|[^,]*)', line))
                 width, _, height = found.get("RESOLUTION", "").partition("x")

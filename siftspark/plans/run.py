@@ -69,7 +69,7 @@ def collect(spark: SparkSession, registry_text: str, recorded: DataFrame, previo
         return {"published": False, "reasons": sorted(f"{r['id']}: {r['rule']}" for r in broken)}
     before = previous if previous is not None else spark.createDataFrame([], ITEMS)
     content = responses.fetched(sources, recorded)
-    observed = probe.probe_live(candidates(sources, content), responses.Recorded.of(recorded), before, checked_at)
+    observed = probe.probe_live(candidates(sources, content), recorded, before, checked_at)
     if place:  # what a probe saw isn't repeatable; it is written once
         observed.write.mode("overwrite").parquet(place)
         observed = spark.read.parquet(place)

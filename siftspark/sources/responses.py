@@ -29,14 +29,6 @@ class Recorded:
     def fetch(self, url: str, with_headers: bool = False) -> dict:
         return self.responses.get((url, with_headers)) or {"status": None, "body": b"", "final_url": url, "elapsed_ms": 0, "error": "dns_failure"}
 
-    @classmethod
-    def of(cls, df: DataFrame, limit: int = 10_000) -> Recorded:
-        """A table of recorded responses for tests, refused beyond a bound."""
-        rows = df.limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"more than {limit} recorded responses")
-        return cls({(r["url"], bool(r["with_headers"])): r.asDict() for r in rows})
-
 
 def reason(kind: str, context: str = "probe") -> Column:
     """Why a response can't be used: its error, its status, its size; null if it can."""

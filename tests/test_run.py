@@ -210,6 +210,18 @@ def test_a_claim_of_the_old_layout_blocks_nobody(spark, tmp_path):
     assert releases.promote("a", None)
 
 
+def test_streams_by_joins(spark):
+    base = "https://h.example.test"
+    rows = [*stream(base), response(f"{base}/flat.m3u8", MEDIA, ms=3), response(f"{base}/loop.m3u8", MASTER.replace("hi.m3u8", "m.m3u8")), response(f"{base}/none.m3u8", "x"), response(f"{base}/gone.m3u8", status=404), response(f"{base}/slow.m3u8", error="fetch_timeout"), response(f"{base}/moved.m3u8", MASTER, final=f"{base}/deep/m.m3u8"), response(f"{base}/big.m3u8", "x" * (2 << 20) + "y")]
+    urls = {n: f"{base}/{n}.m3u8" for n in ("m", "flat", "loop", "none", "gone", "slow", "moved", "big", "lost")}
+    df = spark.createDataFrame([*urls.items(), ("twice", urls["m"])], "entity_id string, url string").withColumn("declared", F.lit(False))
+    got = {r["entity_id"]: (r["ok"], r["response_ms"], r["media_path_score"], r["width"], r["failure_reason"]) for r in probe.streams(df, spark.createDataFrame(rows, S.RESPONSES)).collect()}
+    assert got == {
+        "m": (True, 30, 2, 1920, None), "twice": (True, 30, 2, 1920, None), "flat": (True, 13, 1, None, None), "loop": (False, None, 0, 1920, "schema_incompatible"), "none": (False, None, 0, None, "schema_incompatible"), "gone": (False, None, 0, None, "http_404"),
+        "slow": (False, None, 0, None, "fetch_timeout"), "moved": (False, None, 0, 1920, "dns_failure"), "big": (False, None, 0, None, "response_too_large"), "lost": (False, None, 0, None, "dns_failure"),
+    }
+
+
 def test_static_and_xml_sites_and_bodies_that_are_no_media(spark):
     fetch = lambda rows: responses.Recorded({(r[0], r[1]): dict(zip(["url", "with_headers", "status", "body", "final_url", "elapsed_ms", "error"], r, strict=True)) for r in rows})
     api = "https://s.example.test/api"
