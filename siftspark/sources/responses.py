@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.functions import urls
 from siftspark.functions.policy import http_reason
 
 #: Bytes a response may have, by what it is; fixed values.
@@ -50,11 +51,24 @@ def changed_terms(sources: DataFrame, responses: DataFrame) -> DataFrame:
     return joined.groupBy("id").agg(F.bool_or(~same).alias("changed"))
 
 
+#: Where files of a repository are served as they are; a fixed value.
+RAW_FILES = "https://raw.githubusercontent.com"
+
+
+def address() -> Column:
+    """Where a source's content is read: its reviewed address, or its tracked file at the reviewed revision; null for whole repositories,
+    which a crawl reads."""
+    name = F.regexp_extract("fetch.repository_url", r"^https://[^/]+/([^/]+/[^/]+?)(?:\.git)?/?$", 1)
+    file = urls.raw_file_url(RAW_FILES, name, F.col("fetch.reviewed_revision"), F.col("fetch.config_path"))
+    whole = (name != "") & F.col("fetch.reviewed_revision").isNotNull() & F.col("fetch.config_path").isNotNull()
+    return F.when(F.col("fetch.mode") == "github_tracked_file", F.when(whole, file)).when(F.col("fetch.mode") == "direct_url", F.col("fetch.reviewed_url"))
+
+
 def fetched(sources: DataFrame, responses: DataFrame) -> DataFrame:
     """Sources with their content: terms first, restricted ones never read."""
     terms = changed_terms(sources, responses)
     body = responses.where("not with_headers").select("url", "status", "body", "error")
-    rows = sources.join(terms, "id", "left").join(body, sources["fetch.reviewed_url"] == body["url"], "left")
+    rows = sources.withColumn("_address", address()).join(terms, "id", "left").join(body, F.col("_address") == body["url"], "left")
     barred = F.when(F.col("rights_status") == "takedown", "takedown").when(F.col("rights_status") == "restricted", "rights_restricted").when(F.coalesce("changed", F.lit(False)), "terms_changed")
     why = F.coalesce(barred, reason("config", "upstream"))
     return rows.select(F.col("id").alias("source_id"), "parser", F.when(why.isNull(), F.col("body")).alias("content"), why.alias("failure_reason"))

@@ -210,6 +210,19 @@ def test_a_claim_of_the_old_layout_blocks_nobody(spark, tmp_path):
     assert releases.promote("a", None)
 
 
+def test_tracked_files_are_read_at_their_revision(spark):
+    rows = [
+        ("d", ("direct_url", "https://d.example.test/l.m3u", None, None, None, None)), ("t", ("github_tracked_file", None, "https://github.com/o/r.git", "main", "a b/list.m3u", "abc")),
+        ("n", ("github_tracked_file", None, "https://github.com/o/r", "main", "list.m3u", None)), ("w", ("github_repository", None, "https://github.com/o/r", "main", None, "abc")),
+    ]
+    names = [f.split(":")[0] for f in "mode:,reviewed_url:,repository_url:,track_ref:,config_path:,reviewed_revision:".split(",")]
+    fetch = ", ".join(f"{n}: string" for n in names)
+    df = spark.createDataFrame([(i, "m3u", f, [], "verified") for i, f in rows], f"id string, parser string, fetch struct<{fetch}>, terms_watch array<struct<type: string, url: string, path: string, reviewed_sha256: string>>, rights_status string")
+    recorded = spark.createDataFrame([response("https://d.example.test/l.m3u", "D"), response("https://raw.githubusercontent.com/o/r/abc/a%20b/list.m3u", "T")], S.RESPONSES)
+    got = {r["source_id"]: bytes(r["content"]).decode() if r["content"] is not None else None for r in responses.fetched(df, recorded).collect()}
+    assert got == {"d": "D", "t": "T", "n": None, "w": None}
+
+
 def test_streams_by_joins(spark):
     base = "https://h.example.test"
     rows = [*stream(base), response(f"{base}/flat.m3u8", MEDIA, ms=3), response(f"{base}/loop.m3u8", MASTER.replace("hi.m3u8", "m.m3u8")), response(f"{base}/none.m3u8", "x"), response(f"{base}/gone.m3u8", status=404), response(f"{base}/slow.m3u8", error="fetch_timeout"), response(f"{base}/moved.m3u8", MASTER, final=f"{base}/deep/m.m3u8"), response(f"{base}/big.m3u8", "x" * (2 << 20) + "y")]
