@@ -86,6 +86,13 @@ def test_url_filters_of_odd_rows(spark):
     assert url_filters.filter_urls(df.limit(0)).count() == 0
 
 
+def test_url_filters_hold_the_contracts_rules(spark):
+    contract = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+    assert {host + path: action for action, host, path in url_filters.RULES} == contract
+    df = spark.createDataFrame(list(enumerate(f"http://www.{rule}x" for rule in contract)), "page_id long, url string")
+    assert {r["rule"]: r["verdict"] for r in url_filters.filter_urls(df).collect()} == contract
+
+
 @pytest.fixture(scope="module")
 def leaks():
     items = {i: list(RNG.choice(WORDS, n)) for i, n in enumerate([15, 20, 30, 45, 60, 120])}
