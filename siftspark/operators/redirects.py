@@ -1,4 +1,5 @@
-"""Redirect chains of a table of hops, by pointer doubling: five hops take three joins, whatever the number of chains."""
+"""Redirect chains of a table of hops, by pointer doubling: five hops take three joins, whatever the number of chains; or, hop by hop, all branches
+of addresses that have several locations."""
 
 from __future__ import annotations
 
@@ -31,6 +32,35 @@ def chains(table: DataFrame, hops: int = HOPS) -> DataFrame:
     return found
 
 
+def _allowed() -> Column:
+    return urls.structural_reason(F.col("_to")).isNull() & ~(F.col("_from").startswith("https:") & ~F.col("_to").startswith("https:"))
+
+
+def branches(starts: DataFrame, table: DataFrame, allowed: Column | None = None, hops: int = HOPS) -> DataFrame:
+    """``starts`` with final_url, hops and reason, as ``resolved`` gives them, where an address with several locations leads to each of them.
+
+    ``hops`` are those of the longest branch, ``reason`` is that of the longest one that has a reason, and final_url, without any reason, the
+    end of the longest one (the greatest of several).  Each distinct address is followed once, one join a hop, and a branch that has stopped
+    meets no further location; addresses whose locations all have several of their own have as many branches as the product of these."""
+    allowed = _allowed() if allowed is None else allowed
+    onward = table.where("url is not null and location is not null").select(F.col("url").alias("_at"), F.col("location").alias("_to")).distinct()
+    rows = starts.where("url is not null").select(F.col("url").alias("_start")).distinct().select("_start", F.array("_start").alias("_path"), F.lit(None).cast("string").alias("reason"))
+    for i in range(1, hops + 2):
+        rows = rows.withColumn("_from", F.element_at("_path", -1)).join(onward, (F.col("_from") == F.col("_at")) & F.col("reason").isNull(), "left")
+        refused = ~F.coalesce(allowed, F.lit(False)) if i <= hops else F.lit(False)
+        stop = F.when(refused, "redirect_refused").when(F.array_contains("_path", F.col("_to")), "redirect_loop").when(F.lit(i > hops), "redirect_limit")
+        path = F.when(F.col("_to").isNull(), F.col("_path")).otherwise(F.concat("_path", F.array("_to")))
+        rows = rows.select("_start", path.alias("_path"), F.when(F.col("_to").isNull(), F.col("reason")).otherwise(stop).alias("reason"))
+    length = (F.size("_path") - 1).cast("int").alias("n")
+    stopped = F.max(F.when(F.col("reason").isNotNull(), F.struct(length, "reason")))
+    ends = F.max(F.struct(length, F.element_at("_path", -1).alias("node")))
+    found = rows.groupBy("_start").agg(stopped.alias("_stopped"), ends.alias("_end"))
+    joined = starts.join(found, F.col("url") == F.col("_start"), "left")
+    last = F.when(F.col("_stopped").isNull(), F.col("_end.node"))
+    shown = joined.withColumn("reason", F.col("_stopped.reason")).withColumn("hops", F.coalesce("_end.n", F.lit(0))).withColumn("final_url", last)
+    return shown.drop("_start", "_stopped", "_end")
+
+
 def resolved(starts: DataFrame, table: DataFrame, allowed: Column | None = None, hops: int = HOPS) -> DataFrame:
     """``starts`` with final_url, hops and reason: where each address ends, or why it doesn't.
 
@@ -38,8 +68,7 @@ def resolved(starts: DataFrame, table: DataFrame, allowed: Column | None = None,
     predicate over ``_from`` and ``_to``, by default neither a downgrade from HTTPS nor a refused address), ``redirect_loop`` where an
     address comes again, ``redirect_limit`` beyond ``hops``.  A start that doesn't redirect ends where it is; a null one has no end.
     """
-    if allowed is None:
-        allowed = urls.structural_reason(F.col("_to")).isNull() & ~(F.col("_from").startswith("https:") & ~F.col("_to").startswith("https:"))
+    allowed = _allowed() if allowed is None else allowed
     known = chains(table, hops)
     rows = starts.join(known.withColumnRenamed("url", "_start"), F.col("url") == F.col("_start"), "left").drop("_start")
     nodes = F.slice(F.concat(F.array("url"), F.coalesce("path", F.array().cast("array<string>"))), 1, hops + 2)

@@ -96,7 +96,7 @@ def redirect_chains(spark, sf_dir):
     count = pages.count()
     onward = pages.where("page_id % 5 <> 0").select("url", ((F.col("page_id") * 7 + F.length("url")) % F.lit(count)).alias("to"))
     hops = onward.join(pages.select(F.col("page_id").alias("to"), F.col("url").alias("location")), "to").select("url", "location")
-    return redirects.resolved(pages, hops, ~F.col("_to").contains("example.net/de")).select("page_id", "hops", "reason", "final_url")
+    return redirects.branches(pages, hops, ~F.col("_to").contains("example.net/de")).select("page_id", "hops", "reason", "final_url")
 
 
 @query(

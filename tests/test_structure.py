@@ -132,6 +132,31 @@ def test_redirect_chains(spark):
     assert got == {"https://a.example.test/": (None, "redirect_refused"), "https://b.example.test/": (None, "redirect_refused"), "http://c.example.test/": ("https://c.example.test/", None)}
 
 
+def test_redirect_branches(spark):
+    hop = [("a", "b"), ("a", "c"), ("b", "d"), ("c", "c2"), ("c2", "c3"), ("p", "q"), ("p", "bad"), ("q", "r"), ("s", "t"), ("s", "s"), ("t", "u"), ("l0", "l1"), ("l0", "x"), ("n", None), ("v", "w"), ("v", "w2"), ("v", "w")]
+    hop += [(f"l{i}", f"l{i + 1}") for i in range(1, 8)]
+    starts = spark.createDataFrame([(u,) for u in ["a", "a", "p", "s", "l0", "l3", "n", "v", "none", None]], "url string")
+    got = [(r["url"], r["final_url"], r["hops"], r["reason"]) for r in redirects.branches(starts, spark.createDataFrame(hop, "url string, location string"), F.col("_to") != "bad").collect()]
+    assert sorted(got, key=repr) == sorted([
+        ("a", "c3", 3, None), ("a", "c3", 3, None), ("p", None, 2, "redirect_refused"), ("s", None, 2, "redirect_loop"), ("l0", None, 6, "redirect_limit"), ("l3", "l8", 5, None), ("n", "n", 0, None), ("v", "w2", 1, None),
+        ("none", "none", 0, None), (None, None, 0, None),
+    ], key=repr)
+
+
+def test_redirect_query_equals_sql_where_addresses_repeat(spark, tmp_path):
+    import duckdb
+
+    from siftspark.plans import catalogue
+
+    rows = [(i, f"http://h{i % 60}.example.{'net/de' if i % 60 == 7 else 'org/en'}/{'x' * (i % 60 % 4)}") for i in range(64)]
+    spark.createDataFrame(rows, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["page_id", "hops", "reason", "final_url"]
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({catalogue.ORACLES['redirect_chains']})").fetchall()
+    assert sorted(map(tuple, catalogue.QUERIES["redirect_chains"](spark, str(tmp_path)).select(columns).collect())) == sorted(want)
+
+
 def test_walk_of_nested_values(spark):
     deep = {"a/b": [{"x~y": {"z": [1, [None, True, "t"]]}}], "title": 'a "jar": thing.js?', "spider": ""}
     rows = [(1, json.dumps(deep)), (2, "7"), (3, None), (4, json.dumps({"list": [{"JAR": "x"}, {"u": "https://h.example.test/p.js?q=1"}]}))]
