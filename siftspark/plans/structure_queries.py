@@ -149,8 +149,9 @@ UNION ALL SELECT click_id, '/items/' || pos || '/qty', 'anyOf' FROM i WHERE json
 )
 def schema_violations(spark, sf_dir):
     """What of the clicks' properties breaks their schema, and where."""
-    clicks = table(spark, sf_dir, "clicks").select("click_id", F.try_parse_json("props").alias("v")).where("v is not null")
-    rows = clicks.select("click_id", F.explode(schema.violations(F.col("v"), CLICK_SCHEMA)).alias("x"))
+    clicks = _parsed_clicks(spark, sf_dir).where("v is not null")
+    # The outer form: for the inner one Spark infers filters that work the whole expression out again.
+    rows = clicks.select("click_id", F.explode_outer(schema.violations(F.col("v"), CLICK_SCHEMA)).alias("x")).where("x is not null")
     return rows.select("click_id", "x.path", "x.rule")
 
 
@@ -200,6 +201,12 @@ def merkle_levels(spark, sf_dir):
     return merkle.tree(_files(table(spark, sf_dir, "documents"), F.col("text")), 2)
 
 
+def _parsed_clicks(spark, sf_dir):
+    """Clicks with valid properties, parsed; dealt out first, since a file's few row groups would keep all the work in as many tasks."""
+    clicks = table(spark, sf_dir, "clicks").select("click_id", "props").repartition("click_id", "props")
+    return clicks.select("click_id", F.try_parse_json("props").alias("v"))
+
+
 def _files(docs, content):
     return docs.where("text is not null and doc_id is not null").select(F.concat(F.lit("texts/"), F.col("doc_id").cast("string")).alias("path"), F.sha2(content, 256).alias("sha256"))
 

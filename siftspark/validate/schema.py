@@ -19,6 +19,8 @@ _KNOWN = {
     "type", "const", "enum", "required", "properties", "additionalProperties", "propertyNames", "minProperties", "items", "minItems", "maxItems", "uniqueItems", "pattern", "minLength", "maxLength",
     "minimum", "maximum", "format", "allOf", "anyOf", "oneOf", "not", "$ref",
 }
+#: Those that look at an object's members.
+_OF_OBJECTS = {"required", "properties", "additionalProperties", "propertyNames", "minProperties"}
 _FORMATS = {
     "date": r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$",
     "date-time": r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])[Tt]([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?([Zz]|[+-]([01]\d|2[0-3]):[0-5]\d)$",
@@ -52,20 +54,26 @@ class _Compiler:
             if refs >= NESTED_REFS:
                 raise ValueError("references inside each other")
             return self.node(v, self._target(schema["$ref"]), path, refs + 1)
-        is_ = lambda *kinds: F.coalesce(_kind(v).isin(*kinds), F.lit(False))
+        if not schema.keys() & _OF_OBJECTS:
+            return _once(v, lambda x: _once(_kind(x), lambda kind: self._checked(x, kind, F.lit(None).cast("map<string,variant>"), schema, path, refs)))
+        return _once(v, lambda x: _once(_kind(x), lambda kind: _once(_members(x, kind), lambda inside: self._checked(x, kind, inside, schema, path, refs))))
+
+    def _checked(self, v: Column, kind: Column, members: Column, schema: dict, path: Column, refs: int) -> Column:
+        """``node`` of a value whose kind and members (null but for objects) are known, so that neither is worked out at each use."""
+        is_ = lambda *kinds: F.coalesce(kind.isin(*kinds), F.lit(False))
         text, number = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "double")
-        items, names = F.try_variant_get(v, "$", "array<variant>"), F.json_object_keys(F.to_json(v))
+        items, names = F.try_variant_get(v, "$", "array<variant>"), F.map_keys(members)
         parts: list[Column] = []
         check = lambda bad, rule: parts.append(self._rule(bad, path, rule))
         if "type" in schema:
             kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
             check(~is_(*[k for kind in kinds for k in (("integer", "number") if kind == "number" else (kind,))]), "type")
         if "const" in schema:
-            check(~_equals(v, schema["const"]), "const")
+            check(~_equals(v, kind, schema["const"]), "const")
         if "enum" in schema:
             same = F.lit(False)
             for option in schema["enum"]:
-                same = same | _equals(v, option)
+                same = same | _equals(v, kind, option)
             check(~same, "enum")
         tests: list[tuple[str, Callable[[object], Column], str]] = [
             ("pattern", lambda x: is_("string") & ~text.rlike(x), "pattern"), ("minLength", lambda x: is_("string") & (F.length(text) < x), "minLength"), ("maxLength", lambda x: is_("string") & (F.length(text) > x), "maxLength"),
@@ -90,9 +98,8 @@ class _Compiler:
             wrong = F.filter(names, lambda n: ~n.rlike(schema["propertyNames"]["pattern"]))
             parts.append(self._each(is_("object"), wrong, lambda n: F.struct(F.concat_ws("/", path, n).alias("path"), F.lit("propertyNames").alias("rule"))))
         for name, child in known.items():
-            inner = F.try_variant_get(v, "$['" + name.replace("'", "\\'") + "']", "variant")
-            found = self.node(inner, child, F.concat_ws("/", path, F.lit(name)), refs)
-            parts.append(F.when(is_("object") & F.array_contains(names, name), found).otherwise(F.array().cast(_ROW)))
+            found = self.node(F.try_element_at(members, F.lit(name)), child, F.concat_ws("/", path, F.lit(name)), refs)
+            parts.append(F.when(is_("object") & F.map_contains_key(members, name), found).otherwise(F.array().cast(_ROW)))
         if "items" in schema:
             inside = F.flatten(F.transform(items, lambda x, i: self.node(x, schema["items"], F.concat_ws("/", path, i.cast("string")), refs)))
             parts.append(F.when(is_("array"), inside).otherwise(F.array().cast(_ROW)))
@@ -136,14 +143,24 @@ def _kind(v: Column) -> Column:
     )
 
 
-def _equals(v: Column, constant: object) -> Column:
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body``, which gives an array, of a value that is worked out once, however often ``body`` uses it."""
+    return F.flatten(F.transform(F.array(value), body))
+
+
+def _members(v: Column, kind: Column) -> Column:
+    """An object's values by name, null for other values."""
+    return F.when(kind == "object", F.try_variant_get(v, "$", "map<string,variant>"))
+
+
+def _equals(v: Column, kind: Column, constant: object) -> Column:
     """Whether a value is a constant: scalars by type and value, containers by their JSON."""
     if constant is None:
-        return F.coalesce(_kind(v) == "null", F.lit(False))
+        return F.coalesce(kind == "null", F.lit(False))
     if isinstance(constant, bool):
-        return F.coalesce((_kind(v) == "boolean") & (F.try_variant_get(v, "$", "boolean") == constant), F.lit(False))
+        return F.coalesce((kind == "boolean") & (F.try_variant_get(v, "$", "boolean") == constant), F.lit(False))
     if isinstance(constant, int | float):
-        return F.coalesce(_kind(v).isin("integer", "number") & (F.try_variant_get(v, "$", "double") == float(constant)), F.lit(False))
+        return F.coalesce(kind.isin("integer", "number") & (F.try_variant_get(v, "$", "double") == float(constant)), F.lit(False))
     if isinstance(constant, str):
-        return F.coalesce((_kind(v) == "string") & (F.try_variant_get(v, "$", "string") == constant), F.lit(False))
+        return F.coalesce((kind == "string") & (F.try_variant_get(v, "$", "string") == constant), F.lit(False))
     return F.coalesce(F.to_json(v) == F.to_json(F.parse_json(F.lit(json.dumps(constant)))), F.lit(False))

@@ -282,3 +282,19 @@ def test_bodies_that_end_early_are_truncated_whatever_their_size():
         assert decode.inflated(body[:-9], encoding, 20_000) == (None, "truncated_body")
         assert decode.inflated(body, encoding, 20_000) == (None, "response_too_large")
         assert decode.inflated(body, encoding, 200_000) == (text, None)
+
+
+def test_schemas_work_out_each_node_once(spark):
+    from conftest import DATA
+
+    from siftspark.plans import structure_queries
+
+    deep = {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "object", "required": ["b"], "properties": {"b": {"enum": ["x", "y", 1]}}}}}
+    df = spark.createDataFrame([('{"a": {"b": 2}, "c": 1}',)], "t string").withColumn("v", F.parse_json("t"))
+    found = df.select(schema.violations(F.col("v"), deep).alias("x"))
+    once = df.select(schema._kind(F.col("v")).alias("x"))
+    uses = lambda rows: rows._jdf.queryExecution().analyzed().toString().count("schema_of_variant(")
+    assert uses(found) == 3 * uses(once) > 0
+    assert [tuple(x) for x in found.first()["x"]] == [("/c", "additionalProperties"), ("/a/b", "enum")]
+    plan = structure_queries.schema_violations(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "schemaofvariant" in line.lower()]) == 1
