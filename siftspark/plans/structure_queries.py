@@ -106,8 +106,7 @@ CASE WHEN type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN atom ->> '$' END AS scala
 )
 def nested_scalars(spark, sf_dir):
     """Every value inside the clicks' properties with its path."""
-    clicks = table(spark, sf_dir, "clicks").select("click_id", F.try_parse_json("props").alias("v"))
-    rows = walk.walk(clicks, ["click_id"], "v")
+    rows = walk.walk(_parsed_clicks(spark, sf_dir), ["click_id"], "v")
     return rows.select("click_id", "path", "kind", "scalar")
 
 

@@ -298,3 +298,12 @@ def test_schemas_work_out_each_node_once(spark):
     assert [tuple(x) for x in found.first()["x"]] == [("/c", "additionalProperties"), ("/a/b", "enum")]
     plan = structure_queries.schema_violations(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert len([line for line in plan.splitlines() if "schemaofvariant" in line.lower()]) == 1
+
+
+def test_walk_reads_its_input_once_for_all_levels(spark):
+    deep = "[" * 11 + "7" + "]" * 11
+    df = spark.createDataFrame([(1, '{"a": [{"b": 1}]}'), (2, deep), (3, None)], "id int, t string").withColumn("v", F.parse_json("t"))
+    plan = walk.walk(df.where("id <> 2"), ["id"], "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and "Union" not in plan
+    got = {(r["path"], r["kind"], r["scalar"], r["level"]) for r in walk.walk(df.where("id = 2"), ["id"], "v").collect()}
+    assert got == {("/0" * n, "array" if n < 11 else "number", None if n < 11 else "7", n) for n in range(12)}
