@@ -49,3 +49,29 @@ def test_timers_and_latencies(spark, tmp_path, state_store):
     missing = {(r["entity_id"], r["ts"], r["consecutive_failures"]) for r in got.where("technical_status = 'missing'").collect()}
     assert missing == {(1, at(11), 1)}  # the other came back before the watermark had passed its timer
     assert rows[1, 6] == ("dead", 0, 2, [5, 7])  # the absence counted as a failure
+
+
+def test_an_entity_costs_two_calls_to_the_state_store():
+    from pyspark.sql import Row
+
+    calls, held = [], {}
+
+    class State:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, call):
+            def run(*value):
+                calls.append(call)
+                if call == "update":
+                    held[self.name] = value[0]
+                return held.get(self.name)
+
+            return run
+
+    handle = type("Handle", (), {"getValueState": lambda self, name, schema: State(name), "getListState": lambda self, name, schema: State(name)})()
+    one = tracker.Tracker()
+    one.init(handle)
+    rows = [Row(at=2, event_id=2, technical_status="dead", latency=None), Row(at=1, event_id=1, technical_status="healthy", latency=5)]
+    got = [tuple(r) for r in one.handleInputRows((7,), iter(rows), None)]
+    assert got == [(7, 1, 1, "healthy", 1, 0, 1, [5]), (7, 2, 2, "dead", 0, 1, 1, [5])] and calls == ["get", "update"]
