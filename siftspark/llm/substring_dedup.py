@@ -1,11 +1,11 @@
 """Substring dedup by collinear chaining of shared word k-mers.
 
 Documents of equal words are one: each copy is one passage of the smallest key's document.  Of the others minimisers (the
-least k-mer hash of every window) are the seeds.  A seed that few documents hold is matched with all its earlier places,
-one that many hold with the first and the latest of them.  What no passage covers then is matched once more by pairs of
-frequent seeds at one distance, which far fewer documents share, by the same rule.  Matches of two documents are merged along
-diagonals, chained with gap costs through a Fenwick tree, and the chains are aligned word by word; what reaches the length
-and the identity is a repeated passage.
+least k-mer hash of every window) are the seeds.  A seed in few places is matched with all its earlier places, one in many
+with the first of them.  Places of these that no passage covers then are compared with all earlier places of their seed by the
+words around them at the places' own distance, until one makes a passage that holds the place.  Matches of two documents are
+merged along diagonals, chained with gap costs through a Fenwick tree, and the chains are aligned word by word; what reaches
+the length and the identity is a repeated passage.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,8 +35,10 @@ RARE = 32
 #: Occurrences from which a seed may be hot, and hot seeds at most: their first places are sent to all tasks, so that their
 #: occurrences needn't come together.
 HOT, HOT_SEEDS = 256, 200_000
-#: Words from a frequent seed to the one that it is paired with; a common line alone gives no pair.
-APART = (40, 60)
+#: Words on either side of a frequent seed's place by which it is compared with others, and words that are counted at once.
+REACH, STEP = 150, 25
+#: Targets, and sources, of a frequent seed that meet in one task, about, and pairs of them that are counted at once.
+PART, SOURCES, CELLS = 4096, 32_768, 1 << 18
 #: Words beyond a chain's ends that are aligned too.
 MARGIN = 100
 #: Chains of one source that one task gives its words to, about.
@@ -345,47 +348,187 @@ def _aligned(length: int, identity: float):
     return run
 
 
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (id, pos): each seed with the least of the seeds that lie APART from it, and their distance, as one key."""
-    names, held = ["h", "id", "pos"], None
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each place (h, id, pos, target) of a text with the words within REACH of it, 16 bits a word, from word ``at`` on."""
+    for batch in tk.parts(batches):
+        for i, j, buf, off in tk.slices(batch.column(1)):
+            w = tk.Words(buf, off, tk.ALNUM)
+            short = (w.hash >> np.uint64(48)).astype(np.uint16)
+            places = batch.column(2).slice(i, j - i)
+            flat, n = places.flatten(), pc.list_value_length(places).to_numpy()
+            doc = np.repeat(np.arange(j - i), n)
+            h, pos, target = (flat.field(c) for c in range(3))
+            at = np.maximum(pos.to_numpy() - REACH, 0)
+            low, high = w.first[doc] + at, w.first[doc] + np.minimum(pos.to_numpy() + REACH, w.count[doc])
+            words = pa.array([short[x:y].tobytes() for x, y in zip(low.tolist(), high.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([h, batch.column(0).slice(i, j - i).take(pa.array(doc)), pos, target, pa.array(at.astype(np.int32)), words], names=["h", "id", "pos", "target", "at", "w"])
 
-    def out(rows: pa.RecordBatch) -> pa.RecordBatch:
-        h, id_, pos = rows.column("h").to_numpy().view(np.uint64), rows.column("id").to_numpy(), rows.column("pos").to_numpy().astype(np.int64)
-        place = np.cumsum(np.r_[0, id_[1:] != id_[:-1]]) * (1 << 40) + pos
-        lo, hi = np.searchsorted(place, place + APART[0]), np.searchsorted(place, place + APART[1])
-        some = np.flatnonzero(hi > lo)
-        with_ = np.array([a + int(h[a:b].argmin()) for a, b in zip(lo[some].tolist(), hi[some].tolist(), strict=True)], np.int64)
-        key = tk.mix64(h[some] + np.uint64(7) * tk.mix64(h[with_] + (pos[with_] - pos[some]).astype(np.uint64)))
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(rows.column(c).take(pa.array(some)) for c in names[1:])], names=names)
 
-    for batch in batches:
-        batch = batch.select(names)
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if not len(batch):
-            continue
-        ids = batch.column("id").to_numpy()
-        other = np.flatnonzero(ids != ids[-1])
-        whole = int(other[-1]) + 1 if len(other) else 0
-        if whole:
-            yield out(batch.slice(0, whole))
-        held = batch.slice(whole)
-    if held is not None and len(held):
-        yield out(held)
+def _compared(length: int, identity: float):
+    """Of groups (h, part, share) of places, targets and sources: matches of each target with an earlier source whose words
+    around it make a passage that holds the target.  All sources are compared until one does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["h", "part", "share", "as_target", "id", "pos", "at", "w"]
+        held: list[pa.RecordBatch] = []
+
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            groups = [rows.column(c).to_numpy() for c in names[:3]]
+            cut = np.flatnonzero(np.r_[True, np.any([g[1:] != g[:-1] for g in groups], axis=0), True])
+            found = []
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                one = rows.slice(x, y - x)
+                split = int(np.count_nonzero(one.column("as_target").to_numpy()))
+                if 0 < split < y - x:
+                    found += _earlier(_Places(one.slice(0, split)), _Places(one.slice(split)), length, identity)
+            columns = list(zip(*found, strict=True)) or [[]] * 4
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "pos", "source", "source_pos"])
+
+        for batch in batches:
+            batch = batch.select(names)
+            if not len(batch):
+                continue
+            same = np.all([batch.column(c).to_numpy() == batch.column(c)[len(batch) - 1].as_py() for c in range(3)], axis=0)
+            last = [held[0].column(c)[0].as_py() for c in range(3)] if held else None
+            if held and last != [batch.column(c)[len(batch) - 1].as_py() for c in range(3)] or not held and not same.all():
+                whole = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+                yield out(pa.Table.from_batches([*held, batch.slice(0, whole)]))
+                held, batch = [], batch.slice(whole)
+            held.append(batch)
+        if held:
+            yield out(pa.Table.from_batches(held))
+
+    return run
+
+
+class _Places:
+    """Places of one seed with the words around each, end to end."""
+
+    def __init__(self, rows: pa.Table):
+        self.id, self.pos, self.at = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "pos", "at"))
+        w = rows.column("w").to_pylist()
+        self.words = np.frombuffer(b"".join(w), np.uint16)
+        self.first = np.concatenate([[0], np.cumsum([len(x) // 2 for x in w])])
+
+    def of(self, i: int) -> np.ndarray:
+        return self.words[self.first[i] : self.first[i + 1]]
+
+    def flat(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``some``, index of the word) of all words around these places."""
+        n = self.first[some + 1] - self.first[some]
+        owner = np.repeat(np.arange(len(some)), n)
+        return owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + self.first[some][owner]
+
+
+def _earlier(t: _Places, s: _Places, length: int, identity: float) -> list[tuple[int, int, int, int]]:
+    found: list[tuple[int, int, int, int]] = []
+    alive, lo, size = np.ones(len(t.id), bool), 0, 64
+    key = np.cumsum(np.r_[0, t.id[1:] != t.id[:-1]]) * (1 << 32) + t.pos
+    sources = _apart(s.id, s.pos, np.arange(len(s.id)))
+    while lo < len(sources):
+        some, size = sources[lo : lo + size], min(2 * size, 4096)
+        lo += len(some)
+        live = _apart(t.id, t.pos, np.flatnonzero(alive & (t.id > s.id[some[0]])))
+        to = np.searchsorted(key, key[live] + LENGTH)
+        step = max(1, CELLS // len(some))
+        for x in range(0, len(live), step):
+            a, b = _alike(t, live[x : x + step], s, some, length, identity)
+            for i, j in zip((x + a).tolist(), some[b].tolist(), strict=True):
+                if alive[live[i] : to[i]].any():
+                    _verify(t, int(live[i]), s, j, alive, found, length, identity)
+    return found
+
+
+def _apart(id_: np.ndarray, pos: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Of these places those that stand for all: the first of each text, and the next that is LENGTH words from the one before.
+    What lies between is within reach of the one before."""
+    kept, last, ids, at = [], (-1, 0), id_[some].tolist(), pos[some].tolist()
+    for k, i, p in zip(some.tolist(), ids, at, strict=True):
+        if i != last[0] or p >= last[1] + LENGTH:
+            kept.append(k)
+            last = (i, p)
+    return np.array(kept, np.int64)
+
+
+def _alike(t: _Places, ts: np.ndarray, s: _Places, ss: np.ndarray, length: int, identity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places, the source of a smaller key, that may share a passage: enough of some ``length`` words agree at the
+    places' own distance.  Words are counted by runs of STEP, and what many sources have at one place counts for all of them,
+    so that no pair with such words is left out."""
+    m, n, runs = len(ts), len(ss), 2 * REACH // STEP
+    owner, at = t.flat(ts)
+    place = at - t.first[ts][owner] + (t.at - t.pos + REACH)[ts][owner]
+    source, s_at = s.flat(ss)
+    s_place = s_at - s.first[ss][source] + (s.at - s.pos + REACH)[ss][source]
+    keys, own = t.words[at].astype(np.int64) << 9 | place, s.words[s_at].astype(np.int64) << 9 | s_place
+    order = np.argsort(own, kind="stable")
+    low, high = (np.searchsorted(own[order], keys, side) for side in ("left", "right"))
+    usual = high - low > max(8, n // 20)
+    always = np.bincount(owner[usual] * runs + place[usual] // STEP, minlength=m * runs).reshape(m, 1, runs)
+    hit, with_ = _expanded(np.flatnonzero((high > low) & ~usual), low, high)
+    cells = np.bincount((owner[hit] * n + source[order[with_]]) * runs + place[hit] // STEP, minlength=m * n * runs)
+    total = cells.reshape(m, n, runs) + always
+    span = -(-length // STEP) + 1
+    top = sum(total[:, :, i : runs - span + 1 + i] for i in range(span)).max(axis=2)
+    good = top >= identity * length - 1e-9
+    return np.nonzero(good & (s.id[ss][None, :] < t.id[ts][:, None]))
+
+
+def _expanded(some: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all j from low[i] up to high[i], for each i of ``some``."""
+    n = (high - low)[some]
+    return np.repeat(some, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[some], n)
+
+
+def _verify(t: _Places, i: int, s: _Places, j: int, alive: np.ndarray, found: list, length: int, identity: float) -> None:
+    """The passages at the places' own distance that hold targets, as matches along them; these targets are done."""
+    at = t.pos[i] - t.at[i]
+    diagonal = s.pos[j] - s.at[j] - at
+    own = slice(*np.searchsorted(t.id, [t.id[i], t.id[i] + 1]).tolist())
+    for x, y, *_ in align(t.of(i), s.of(j), np.array([[at], [at + K], [diagonal]]), length, identity):
+        done = own.start + np.flatnonzero(alive[own] & (t.pos[own] >= x + t.at[i]) & (t.pos[own] < y + t.at[i]))
+        if len(done):
+            alive[done] = False
+            for p in [*range(x, y - K, NEAR // 2), y - K]:
+                found.append((int(t.id[i]), int(p + t.at[i]), int(s.id[j]), int(p + diagonal + s.at[j])))
+
+
+def _rest(frequent: DataFrame, found: DataFrame, rows: DataFrame, length: int, identity: float) -> DataFrame:
+    """Matches of the places (h, id, pos) of frequent seeds that no passage found so far holds with all earlier places, as far as
+    the words around them make a passage.  The places of one seed are dealt out: each part of targets meets each share of
+    sources in a task of bounded size."""
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    covered = F.exists("spans", lambda p: (p["start_word"] <= F.col("pos")) & (F.col("pos") < p["end_word"]))
+    places = written(frequent.join(spans, F.col("id") == F.col("doc_id"), "left").select("h", "id", "pos", (~F.coalesce(covered, F.lit(False))).alias("target")))
+    sizes = places.groupBy("h").agg(F.count("*").alias("sources"), F.count_if("target").alias("targets"), F.min("id").alias("least"), F.max(F.when(F.col("target"), F.col("id"))).alias("last"))
+    sizes = written(sizes.where("least < last").select("h", (F.col("targets") / PART).cast("int").alias("parts"), (F.col("sources") / SOURCES).cast("int").alias("shares")))
+    by_id = written(of_ids(places, sizes.select("h"), "h").groupBy("id").agg(F.collect_list(F.struct("h", "pos", "target")).alias("places")))
+    few = by_id.count() <= BROADCAST_IDS
+    around = rows.join(F.broadcast(by_id) if few else by_id, "id").select("id", "t", "places").mapInArrow(_contexts, "h long, id long, pos int, target boolean, at int, w binary")
+    around = written(around)
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_IDS else sizes
+    dealt = around.join(sizes, "h")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n)))
+    own = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n) + 1).cast("int")
+    columns = ["id", "pos", "at", "w"]
+    targets = dealt.where("target").select("h", own("parts").alias("part"), every("shares").alias("share"), F.lit(1).alias("as_target"), *columns)
+    sources = dealt.select("h", every("parts").alias("part"), own("shares").alias("share"), F.lit(0).alias("as_target"), *columns)
+    group = ["h", "part", "share"]
+    met = targets.unionByName(sources).repartition(*group).sortWithinPartitions(*group, F.desc("as_target"), "id", "pos")
+    return met.mapInArrow(_compared(length, identity), "id long, pos int, source long, source_pos int")
 
 
 def _met(seeds: DataFrame) -> DataFrame:
     """Of each occurrence (h, id, pos) the number n of its seed's, and the places ``to`` that it is matched with: all earlier
-    ones of a rare seed, else the first and the latest one.  Seeds of one document alone are left out."""
+    ones of a rare seed, else the first one.  Seeds of one document alone are left out."""
     by, place = Window.partitionBy("h"), F.struct("id", "pos")
     order = by.orderBy("id", "pos")
     met = seeds.select(
         "*", F.count("*").over(by).alias("n"), F.min("id").over(by).alias("least"), F.max("id").over(by).alias("last"),
         F.first(place).over(order).alias("x"), F.collect_list(place).over(order.rowsBetween(-RARE, -1)).alias("before"),
     )
-    earlier = F.filter("before", lambda p: p["id"] < F.col("id"))
-    ends = F.array_distinct(F.concat(F.array("x"), F.slice(earlier, -1, 1)))
-    to = F.when(F.col("n") <= RARE, earlier).when(F.size(earlier) > 0, ends).otherwise(F.array("x"))
+    to = F.when(F.col("n") <= RARE, F.col("before")).otherwise(F.array("x"))
     return met.where("least < last").select("h", "id", "pos", "n", F.filter(to, lambda p: p["id"] < F.col("id")).alias("to"))
 
 
@@ -425,16 +568,9 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     common = written(alone.mapInArrow(_seeded(k, window, length, hot, True), schema)) if len(hot) else alone.sparkSession.createDataFrame([], schema)
     first = common.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("x"))  # as many rows as hot seeds, at most
     found = written(_passages_of(_matches(met).unionByName(_with_first(common, first)), alone, length, identity))
-    # What lies in a passage has its source; the rest of the frequent seeds gets a second chance in pairs.
-    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    # What lies in a passage has its source; the rest of the frequent seeds is compared with all that is earlier.
     frequent = met.where(F.col("n") > RARE).select("h", "id", "pos").unionByName(common)
-    covered = F.exists("spans", lambda p: (p["start_word"] <= F.col("pos")) & (F.col("pos") < p["end_word"]))
-    left = frequent.join(spans, F.col("id") == F.col("doc_id"), "left").where(~F.coalesce(covered, F.lit(False))).select("h", "id", "pos")
-    pairs = written(left.repartition("id").sortWithinPartitions("id", "pos").mapInArrow(_paired, schema))
-    counts = pairs.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("x")).where(F.col("n") >= HOT)
-    first = written(counts.orderBy(F.desc("n"), "h").limit(HOT_SEEDS).select("h", "x"))
-    rest = pairs.join(F.broadcast(first.select("h")), "h", "left_anti")
-    more = _passages_of(_matches(_met(rest)).unionByName(_with_first(pairs, first)), alone, length, identity)
+    more = _passages_of(_rest(frequent, found, alone, length, identity), alone, length, identity)
     equal = copies.select(
         F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"), F.col("rep").alias("source_id"),
         F.lit(0).cast("long").alias("source_start"), F.col("n").alias("source_end"), F.lit(1.0).alias("identity"),

@@ -281,6 +281,40 @@ def test_hot_seeds_and_copies_of_whole_texts(spark, monkeypatch):
     assert all(r["start_word"] <= 30 and r["end_word"] >= 100 for r in rows.values())
 
 
+@pytest.fixture(scope="module")
+def frequent_sentences():
+    """Documents of five sentences of a pool each, so that every seed is frequent, and edited copies of some of them."""
+    rng = np.random.RandomState(11)
+    pool = [list(rng.choice(VOCABULARY, 12)) for _ in range(40)]
+    made = [[w for k in rng.choice(40, 5, replace=False) for w in pool[k]] for _ in range(400)]
+    want = {}
+    for share in (0.0, 0.06, 0.12, 0.17):
+        for i in rng.choice(range(40, 400), 20, replace=False).tolist():
+            x = np.array(made[i])
+            y = np.where(rng.rand(60) < share, rng.choice(VOCABULARY, 60), x)
+            same = x == y
+            if any(same[a:b].mean() >= 0.8 for a in range(11) for b in range(a + 50, 61)):
+                want[len(made)] = share
+            made.append(y.tolist())
+    return [(i, " ".join(["x%d" % i, *w, "y%d" % i])) for i, w in enumerate(made)], want
+
+
+def test_edited_passages_of_frequent_sentences_are_found(spark, frequent_sentences):
+    docs, want = frequent_sentences
+    got = {r["doc_id"] for r in substring_dedup.passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert min(sum(v == share for v in want.values()) for share in (0.0, 0.06, 0.12)) > 10
+    assert len(got & want.keys()) >= 0.95 * len(want)
+
+
+def test_which_seeds_are_known_as_hot_changes_no_row(spark, frequent_sentences, monkeypatch):
+    df = spark.createDataFrame(frequent_sentences[0], "doc_id long, text string").repartition(2)
+    rows = []
+    for hot in (40, 10**9):
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
+        rows.append(sorted(tuple(r) for r in substring_dedup.passages(df).collect()))
+    assert rows[0] == rows[1]
+
+
 def test_chain_is_the_best_of_all_orders():
     for _ in range(60):
         n = RNG.randint(1, 7)
