@@ -37,8 +37,10 @@ RARE = 32
 HOT, HOT_SEEDS = 256, 200_000
 #: Words on either side of a frequent seed's place by which it is compared with others, and words that are counted at once.
 REACH, STEP = 150, 25
-#: Targets, and sources, of a frequent seed that meet in one task, about, and pairs of them that are counted at once.
-PART, SOURCES, CELLS = 4096, 32_768, 1 << 18
+#: Places of a frequent seed that meet in one task, about, and pairs of them that are compared at once.
+PLACES, CELLS = 32_768, 1 << 18
+#: Words of a block; places of a seed that share a passage agree in several.
+BLOCK = 3
 #: Words beyond a chain's ends that are aligned too.
 MARGIN = 100
 #: Chains of one source that one task gives its words to, about.
@@ -365,11 +367,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(length: int, identity: float):
-    """Of groups (h, part, share) of places, targets and sources: matches of each target with an earlier source whose words
-    around it make a passage that holds the target.  All sources are compared until one does."""
+    """Of groups (h, part, share) of places, each a target, a source or both: matches of each target with an earlier source whose
+    words around it make a passage that holds the target.  All sources are compared until one does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "part", "share", "as_target", "id", "pos", "at", "w"]
+        names = ["h", "part", "share", "as_target", "as_source", "id", "pos", "at", "w"]
         held: list[pa.RecordBatch] = []
 
         def out(rows: pa.Table) -> pa.RecordBatch:
@@ -378,10 +380,7 @@ def _compared(length: int, identity: float):
             cut = np.flatnonzero(np.r_[True, np.any([g[1:] != g[:-1] for g in groups], axis=0), True])
             found = []
             for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                one = rows.slice(x, y - x)
-                split = int(np.count_nonzero(one.column("as_target").to_numpy()))
-                if 0 < split < y - x:
-                    found += _earlier(_Places(one.slice(0, split)), _Places(one.slice(split)), length, identity)
+                found += _earlier(_Places(rows.slice(x, y - x)), length, identity)
             columns = list(zip(*found, strict=True)) or [[]] * 4
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "pos", "source", "source_pos"])
@@ -404,10 +403,11 @@ def _compared(length: int, identity: float):
 
 
 class _Places:
-    """Places of one seed with the words around each, end to end."""
+    """Places of one seed, by text, with the words around each, end to end."""
 
     def __init__(self, rows: pa.Table):
         self.id, self.pos, self.at = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "pos", "at"))
+        self.target, self.source = (rows.column(c).to_numpy() for c in ("as_target", "as_source"))
         w = rows.column("w").to_pylist()
         self.words = np.frombuffer(b"".join(w), np.uint16)
         self.first = np.concatenate([[0], np.cumsum([len(x) // 2 for x in w])])
@@ -415,64 +415,124 @@ class _Places:
     def of(self, i: int) -> np.ndarray:
         return self.words[self.first[i] : self.first[i + 1]]
 
-    def flat(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index into ``some``, index of the word) of all words around these places."""
-        n = self.first[some + 1] - self.first[some]
-        owner = np.repeat(np.arange(len(some)), n)
-        return owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + self.first[some][owner]
-
-
-def _earlier(t: _Places, s: _Places, length: int, identity: float) -> list[tuple[int, int, int, int]]:
+    def lined(self) -> np.ndarray:
+        """The words around each place as a row, all places in the middle; 0 where a text has none."""
+        out, n = np.zeros((len(self.id), 2 * REACH), np.uint16), np.diff(self.first)
+        owner = np.repeat(np.arange(len(n)), n)
+        out[owner, np.arange(len(owner)) - (self.first[:-1] - self.at + self.pos - REACH)[owner]] = np.maximum(self.words, 1)
+        return out
+
+
+def alike_blocks(length: int, identity: float) -> int:
+    """How many blocks of BLOCK words, all at one distance, agree in any passage at least, that of the seed left out.
+
+    A passage holds one of ``length`` words or more and less than twice as many; each word that differs spoils one block."""
+    return min((n - BLOCK + 1) // BLOCK - int((1 - identity) * n + 1e-9) for n in range(length, 2 * length)) - 1
+
+
+def _shared(lined: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key's number, place) of blocks that places share, in that order: the words of a block and where it lies are its key.  The
+    seed's own block is left out, and each place's ``spare`` most frequent ones: places that share more than ``spare`` blocks still
+    share the rarest of these."""
+    found, numbers, blocks = [], 0, lined.shape[1] // BLOCK
+    step = max(1, CELLS // len(lined))
+    for x in range(0, blocks, step):
+        key, whole = np.arange(x, min(x + step, blocks), dtype=np.uint64)[None, :], True
+        for c in range(BLOCK):
+            word = lined[:, BLOCK * x + c : BLOCK * (x + step) : BLOCK]
+            key, whole = key << np.uint64(16) | word, whole & (word > 0)
+        if x <= REACH // BLOCK < x + step:
+            whole[:, REACH // BLOCK - x] = False
+        owner, key = np.nonzero(whole)[0], key[whole]
+        if not len(key):
+            continue
+        order = np.argsort(key, kind="stable")
+        owner, key = owner[order], key[order]
+        number = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+        size = np.bincount(number)[number]
+        found.append([c[size > 1] for c in (number + numbers, owner, size)])
+        numbers += int(number[-1]) + 1
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    number, owner, size = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((number, -size, owner))
+    begin = np.r_[True, owner[order][1:] != owner[order][:-1]][: len(order)]
+    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))
+    kept = np.sort(order[rank >= spare])
+    return number[kept], owner[kept]
+
+
+def _earlier(p: _Places, length: int, identity: float) -> list[tuple[int, int, int, int]]:
+    """Targets are compared with those sources of smaller keys that agree in a block beyond what is usual, the first sources first."""
     found: list[tuple[int, int, int, int]] = []
-    alive, lo, size = np.ones(len(t.id), bool), 0, 64
-    key = np.cumsum(np.r_[0, t.id[1:] != t.id[:-1]]) * (1 << 32) + t.pos
-    sources = _apart(s.id, s.pos, np.arange(len(s.id)))
-    while lo < len(sources):
-        some, size = sources[lo : lo + size], min(2 * size, 4096)
-        lo += len(some)
-        live = _apart(t.id, t.pos, np.flatnonzero(alive & (t.id > s.id[some[0]])))
-        to = np.searchsorted(key, key[live] + LENGTH)
-        step = max(1, CELLS // len(some))
-        for x in range(0, len(live), step):
-            a, b = _alike(t, live[x : x + step], s, some, length, identity)
-            for i, j in zip((x + a).tolist(), some[b].tolist(), strict=True):
-                if alive[live[i] : to[i]].any():
-                    _verify(t, int(live[i]), s, j, alive, found, length, identity)
+    before, alive, n = np.searchsorted(p.id, p.id), p.target.copy(), len(p.id)
+    alive &= before > 0
+    if not alive.any():
+        return found
+    lined, spare = p.lined(), alike_blocks(length, identity) - 1
+    # without blocks that must agree all places share one key
+    number, owner = _shared(lined, spare) if spare >= 0 else (np.zeros(n, np.int64), np.arange(n))
+    standing = np.zeros(n, bool)
+    standing[_apart(p, np.flatnonzero(p.source))] = True
+    sources = (number * n + owner)[standing[owner]]
+    entry = np.flatnonzero(alive[owner])
+    entry = entry[np.argsort(owner[entry], kind="stable")]
+    to, lo, size = np.maximum(np.searchsorted(_along(p), _along(p) + LENGTH), np.arange(n) + 1), 0, 64
+    while lo < n and len(entry):
+        hi, size = lo + size, 2 * size
+        entry = entry[alive[owner[entry]] & (before[owner[entry]] > lo)]
+        live = np.zeros(n, bool)
+        live[_apart(p, np.flatnonzero(alive & (before > lo)))] = True
+        now = entry[live[owner[entry]]]
+        low = np.searchsorted(sources, number[now] * n + lo)
+        high = np.searchsorted(sources, number[now] * n + np.minimum(hi, before[owner[now]]))
+        some = np.flatnonzero(high > low)
+        # whole targets, about CELLS pairs at once
+        step = np.cumsum((high - low)[some]) // CELLS
+        new = np.flatnonzero(np.r_[True, owner[now[some]][1:] != owner[now[some]][:-1]][: len(some)])
+        cut = [*new[np.r_[True, np.diff(step[new]) > 0][: len(new)]].tolist(), len(some)]
+        for x, y in zip(cut[:-1], cut[1:], strict=True):
+            i, j = _expanded(some[x:y], low, high)
+            pairs = np.unique(owner[now[i]] * n + sources[j] % n)
+            for a, b in _alike(lined, pairs // n, pairs % n, length, identity):
+                if alive[a : to[a]].any():
+                    _verify(p, a, b, alive, found, length, identity)
+        lo = hi
     return found
 
 
-def _apart(id_: np.ndarray, pos: np.ndarray, some: np.ndarray) -> np.ndarray:
+def _along(p: _Places) -> np.ndarray:
+    """The places' positions, each text's beyond those of the one before."""
+    return np.cumsum(np.r_[0, p.id[1:] != p.id[:-1]]) * (1 << 32) + p.pos
+
+
+def _apart(p: _Places, some: np.ndarray) -> np.ndarray:
     """Of these places those that stand for all: the first of each text, and the next that is LENGTH words from the one before.
     What lies between is within reach of the one before."""
-    kept, last, ids, at = [], (-1, 0), id_[some].tolist(), pos[some].tolist()
-    for k, i, p in zip(some.tolist(), ids, at, strict=True):
-        if i != last[0] or p >= last[1] + LENGTH:
+    kept, last, along = [], -LENGTH, _along(p)[some].tolist()
+    for k, at in zip(some.tolist(), along, strict=True):
+        if at >= last + LENGTH:
             kept.append(k)
-            last = (i, p)
+            last = at
     return np.array(kept, np.int64)
 
 
-def _alike(t: _Places, ts: np.ndarray, s: _Places, ss: np.ndarray, length: int, identity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places, the source of a smaller key, that may share a passage: enough of some ``length`` words agree at the
-    places' own distance.  Words are counted by runs of STEP, and what many sources have at one place counts for all of them,
-    so that no pair with such words is left out."""
-    m, n, runs = len(ts), len(ss), 2 * REACH // STEP
-    owner, at = t.flat(ts)
-    place = at - t.first[ts][owner] + (t.at - t.pos + REACH)[ts][owner]
-    source, s_at = s.flat(ss)
-    s_place = s_at - s.first[ss][source] + (s.at - s.pos + REACH)[ss][source]
-    keys, own = t.words[at].astype(np.int64) << 9 | place, s.words[s_at].astype(np.int64) << 9 | s_place
-    order = np.argsort(own, kind="stable")
-    low, high = (np.searchsorted(own[order], keys, side) for side in ("left", "right"))
-    usual = high - low > max(8, n // 20)
-    always = np.bincount(owner[usual] * runs + place[usual] // STEP, minlength=m * runs).reshape(m, 1, runs)
-    hit, with_ = _expanded(np.flatnonzero((high > low) & ~usual), low, high)
-    cells = np.bincount((owner[hit] * n + source[order[with_]]) * runs + place[hit] // STEP, minlength=m * n * runs)
-    total = cells.reshape(m, n, runs) + always
-    span = -(-length // STEP) + 1
-    top = sum(total[:, :, i : runs - span + 1 + i] for i in range(span)).max(axis=2)
-    good = top >= identity * length - 1e-9
-    return np.nonzero(good & (s.id[ss][None, :] < t.id[ts][:, None]))
+def _alike(lined: np.ndarray, ts: np.ndarray, ss: np.ndarray, length: int, identity: float) -> Iterator[tuple[int, int]]:
+    """Of these pairs of places those with a range of words that holds the place, or one of those that it stands for, begins and ends
+    with a word that agrees, has the length and agrees in enough of its words, all at the places' own distance.  Words are counted by runs of STEP first, so that no pair with such words is left out."""
+    runs, span, most = 2 * REACH // STEP, -(-length // STEP) + 1, CELLS // REACH
+    near, ends = REACH + LENGTH, np.arange(REACH + 1, 2 * REACH + 1)
+    for x in range(0, len(ts), most):
+        t, s = ts[x : x + most], ss[x : x + most]
+        same = (lined[t] == lined[s]) & (lined[t] > 0)
+        total = same.reshape(len(t), runs, STEP).sum(axis=2, dtype=np.int16)
+        some = np.flatnonzero(sum(total[:, i : runs - span + 1 + i] for i in range(span)).max(axis=1) >= identity * length - 1e-9)
+        gain = np.zeros((len(some), 2 * REACH + 1), np.float32)
+        np.cumsum(same[some] - np.float32(identity), axis=1, out=gain[:, 1:])
+        least = np.minimum.accumulate(np.where(same[some, :near], gain[:, :near], np.float32(np.inf)), axis=1)
+        enough = gain[:, ends] >= least[:, np.clip(ends - length, 0, near - 1)] - 1e-3
+        good = some[(enough & same[some][:, ends - 1])[:, ends >= length].any(axis=1)]
+        yield from zip(t[good].tolist(), s[good].tolist(), strict=True)
 
 
 def _expanded(some: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -481,17 +541,17 @@ def _expanded(some: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     return np.repeat(some, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[some], n)
 
 
-def _verify(t: _Places, i: int, s: _Places, j: int, alive: np.ndarray, found: list, length: int, identity: float) -> None:
+def _verify(p: _Places, i: int, j: int, alive: np.ndarray, found: list, length: int, identity: float) -> None:
     """The passages at the places' own distance that hold targets, as matches along them; these targets are done."""
-    at = t.pos[i] - t.at[i]
-    diagonal = s.pos[j] - s.at[j] - at
-    own = slice(*np.searchsorted(t.id, [t.id[i], t.id[i] + 1]).tolist())
-    for x, y, *_ in align(t.of(i), s.of(j), np.array([[at], [at + K], [diagonal]]), length, identity):
-        done = own.start + np.flatnonzero(alive[own] & (t.pos[own] >= x + t.at[i]) & (t.pos[own] < y + t.at[i]))
+    at = p.pos[i] - p.at[i]
+    diagonal = p.pos[j] - p.at[j] - at
+    own = slice(*np.searchsorted(p.id, [p.id[i], p.id[i] + 1]).tolist())
+    for x, y, *_ in align(p.of(i), p.of(j), np.array([[at], [at + K], [diagonal]]), length, identity):
+        done = own.start + np.flatnonzero(alive[own] & (p.pos[own] >= x + p.at[i]) & (p.pos[own] < y + p.at[i]))
         if len(done):
             alive[done] = False
-            for p in [*range(x, y - K, NEAR // 2), y - K]:
-                found.append((int(t.id[i]), int(p + t.at[i]), int(s.id[j]), int(p + diagonal + s.at[j])))
+            for q in [*range(x, y - K, NEAR // 2), y - K]:
+                found.append((int(p.id[i]), int(q + p.at[i]), int(p.id[j]), int(q + diagonal + p.at[j])))
 
 
 def _rest(frequent: DataFrame, found: DataFrame, rows: DataFrame, length: int, identity: float) -> DataFrame:
@@ -502,20 +562,22 @@ def _rest(frequent: DataFrame, found: DataFrame, rows: DataFrame, length: int, i
     covered = F.exists("spans", lambda p: (p["start_word"] <= F.col("pos")) & (F.col("pos") < p["end_word"]))
     places = written(frequent.join(spans, F.col("id") == F.col("doc_id"), "left").select("h", "id", "pos", (~F.coalesce(covered, F.lit(False))).alias("target")))
     sizes = places.groupBy("h").agg(F.count("*").alias("sources"), F.count_if("target").alias("targets"), F.min("id").alias("least"), F.max(F.when(F.col("target"), F.col("id"))).alias("last"))
-    sizes = written(sizes.where("least < last").select("h", (F.col("targets") / PART).cast("int").alias("parts"), (F.col("sources") / SOURCES).cast("int").alias("shares")))
+    dealt = lambda n: F.when(F.col("sources") > PLACES, F.col(n) / PLACES).otherwise(0).cast("int")
+    sizes = written(sizes.where("least < last").select("h", dealt("targets").alias("parts"), dealt("sources").alias("shares")))
     by_id = written(of_ids(places, sizes.select("h"), "h").groupBy("id").agg(F.collect_list(F.struct("h", "pos", "target")).alias("places")))
     few = by_id.count() <= BROADCAST_IDS
     around = rows.join(F.broadcast(by_id) if few else by_id, "id").select("id", "t", "places").mapInArrow(_contexts, "h long, id long, pos int, target boolean, at int, w binary")
     around = written(around)
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_IDS else sizes
-    dealt = around.join(sizes, "h")
+    all_ = around.join(sizes, "h")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n)))
     own = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n) + 1).cast("int")
-    columns = ["id", "pos", "at", "w"]
-    targets = dealt.where("target").select("h", own("parts").alias("part"), every("shares").alias("share"), F.lit(1).alias("as_target"), *columns)
-    sources = dealt.select("h", every("parts").alias("part"), own("shares").alias("share"), F.lit(0).alias("as_target"), *columns)
-    group = ["h", "part", "share"]
-    met = targets.unionByName(sources).repartition(*group).sortWithinPartitions(*group, F.desc("as_target"), "id", "pos")
+    columns, group = ["id", "pos", "at", "w"], ["h", "part", "share"]
+    whole = all_.where("shares = 0").select("h", F.lit(0).alias("part"), F.lit(0).alias("share"), F.col("target").alias("as_target"), F.lit(True).alias("as_source"), *columns)
+    large = all_.where("shares > 0")
+    targets = large.where("target").select("h", own("parts").alias("part"), every("shares").alias("share"), F.lit(True).alias("as_target"), F.lit(False).alias("as_source"), *columns)
+    sources = large.select("h", every("parts").alias("part"), own("shares").alias("share"), F.lit(False).alias("as_target"), F.lit(True).alias("as_source"), *columns)
+    met = whole.unionByName(targets).unionByName(sources).repartition(*group).sortWithinPartitions(*group, "id", "pos")
     return met.mapInArrow(_compared(length, identity), "id long, pos int, source long, source_pos int")
 
 

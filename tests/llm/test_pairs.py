@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siftspark.llm import embedding_dedup, graph, jaccard_join, substring_dedup
@@ -315,6 +316,44 @@ def test_which_seeds_are_known_as_hot_changes_no_row(spark, frequent_sentences,
     assert rows[0] == rows[1]
 
 
+def frequent_places(n):
+    """Places of one seed in ``n`` texts whose words around it are unrelated, but for some edited copies."""
+    rng = np.random.RandomState(5)
+    lined = rng.randint(1, 1 << 16, (n, 2 * substring_dedup.REACH)).astype(np.uint16)
+    for i in range(n // 10, n, n // 10):
+        at, size = substring_dedup.REACH - rng.randint(46), 50 + rng.randint(40)
+        some = at + np.sort(rng.choice(size, size - int(0.2 * size), replace=False))
+        lined[i, some] = lined[i - 1 - rng.randint(5), some]
+    lined[:, substring_dedup.REACH : substring_dedup.REACH + substring_dedup.K] = [1, 2, 3, 4]
+    texts = [row.tobytes() for row in lined]
+    return pa.table({"id": range(n), "pos": [substring_dedup.REACH] * n, "at": [0] * n, "as_target": [True] * n, "as_source": [True] * n, "w": texts}), lined
+
+
+def test_places_of_one_seed_meet_few_others_and_lose_none(monkeypatch):
+    """Unrelated places aren't compared, so that the work doesn't grow with the square of the places."""
+    rows, lined = frequent_places(1500)
+    want = set()
+    for i in range(1, 1500):
+        same = lined[:i] == lined[i]
+        for j in np.flatnonzero(same.sum(axis=1) >= 40).tolist():
+            if substring_dedup.align(lined[i], lined[j], np.array([[150], [154], [0]])):
+                want.add(i)
+    compared, alike = [], substring_dedup._alike
+    monkeypatch.setattr(substring_dedup, "_alike", lambda lined, ts, *rest: compared.append(len(ts)) or alike(lined, ts, *rest))
+    found = substring_dedup._earlier(substring_dedup._Places(rows), substring_dedup.LENGTH, substring_dedup.IDENTITY)
+    assert len(want) >= 8 and {f[0] for f in found} == want and sum(compared) < 1500
+
+
+def test_large_groups_of_places_are_dealt_out_without_loss(spark, frequent_sentences, monkeypatch):
+    docs, want = frequent_sentences
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = []
+    for places in (16, 10**6):
+        monkeypatch.setattr(substring_dedup, "PLACES", places)
+        got.append({r["doc_id"] for r in substring_dedup.passages(df).collect()})
+    assert got[0] == got[1] and len(got[0] & want.keys()) >= 0.95 * len(want)
+
+
 def test_chain_is_the_best_of_all_orders():
     for _ in range(60):
         n = RNG.randint(1, 7)
