@@ -32,6 +32,8 @@ from siftspark.llm.textkit import settle
 
 #: Bytes of text, about, that form a block; a longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Characters of a block's texts, about, whose stretches are held at once; a longer document is held whole.
+HELD_CHARS = 1 << 20
 #: Stretches of text whose tokens a task remembers, and the characters of the longest that it does.
 REMEMBERED, LONGEST = 250_000, 100
 #: Characters of a run of stretches that are encoded together, about; links of a group that are written out.
@@ -208,7 +210,11 @@ class _Memory:
     """What is known of stretches, by number; pairs have numbers too."""
 
     def __init__(self, pair: Pair):
-        self.pair, self.number, self.texts = pair, {}, []
+        self.pair = pair
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.texts = {}, []
         self.counts, self.start = np.zeros((0, 3), np.int64), np.zeros(1, np.int64)
         self.at, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pairs = np.zeros(0, np.int64)  # sorted; a link's ``at`` is a place here
@@ -240,12 +246,13 @@ def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _block(memory: _Memory, number: int, keys: list, texts: list[str]) -> dict:
-    """A block's row: sums of each document, its links as places in the block's list of pairs, and that list."""
+def _linked(memory: _Memory, texts: list[str]) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens of a, of b, and groups of each text; digests; text, pair and times of each distinct link, by text)."""
     parts = [memory.pair.stretches(t) if t else [] for t in texts]
     known = memory.number
     memory.learn(list(dict.fromkeys(p for own in parts for p in own if p not in known)))
     numbers = [[known[p] for p in own] for own in parts]
+    del parts
     count = np.array([len(own) for own in numbers], np.int64)
     flat = np.fromiter((x for own in numbers for x in own), np.int64, int(count.sum()))
     doc = np.repeat(np.arange(len(texts)), count)
@@ -262,11 +269,36 @@ def _block(memory: _Memory, number: int, keys: list, texts: list[str]) -> dict:
     first = np.flatnonzero(np.diff(linked[order], prepend=-1)) if len(order) else np.zeros(0, np.int64)
     each = np.add.reduceat(times[where][order], first) if len(first) else np.zeros(0, np.int64)
     linked = linked[order][first]
-    used, place, docs = np.unique(linked & ((1 << 40) - 1), return_inverse=True, return_counts=True)
-    of = linked >> 40
+    return sums, groups, linked >> 40, memory.pairs[linked & ((1 << 40) - 1)], each
+
+
+def _runs(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of texts of so many characters, about."""
+    begin = held = 0
+    for i, t in enumerate(texts):
+        if i > begin and held + len(t) > chars:
+            yield begin, i
+            begin, held = i, 0
+        held += len(t)
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def _block(memory: _Memory, number: int, keys: list, texts: list[str]) -> dict:
+    """A block's row: sums of each document, its links as places in the block's list of pairs, and that list."""
+    found = []
+    for i, j in _runs(texts, HELD_CHARS):
+        if memory.full():
+            memory.clear()
+        sums, groups, of, pair, each = _linked(memory, texts[i:j])
+        found.append((*sums, groups, of + i, pair, each))
+        settle()
+    n_a, n_b, n_groups, groups, of, pair, each = zip(*found, strict=True)
+    of, each = np.concatenate(of), np.concatenate(each)
+    used, place, docs = np.unique(np.concatenate(pair), return_inverse=True, return_counts=True)
     return {
-        "block": number, "doc_id": keys, "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": np.bincount(of, each, len(texts)).astype(np.int64), "groups": groups,
-        "ends": np.searchsorted(of, np.arange(len(texts)), "right"), "place": place.astype(np.int32), "times": each.astype(np.int32), "pair": memory.pairs[used], "docs": docs.astype(np.int32),
+        "block": number, "doc_id": keys, "n_a": np.concatenate(n_a), "n_b": np.concatenate(n_b), "n_groups": np.concatenate(n_groups), "n_links": np.bincount(of, each, len(texts)).astype(np.int64), "groups": [g for own in groups for g in own],
+        "ends": np.searchsorted(of, np.arange(len(texts)), "right"), "place": place.astype(np.int32), "times": each.astype(np.int32), "pair": used, "docs": docs.astype(np.int32),
     }
 
 
@@ -287,11 +319,9 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: str, block
         keys, texts, held = [], [], 0
 
         def flushed() -> pa.RecordBatch:
-            nonlocal memory, number, keys, texts, held
+            nonlocal number, keys, texts, held
             out = _table(_block(memory, number, keys, texts), kinds)
             number, keys, texts, held = number + 1, [], [], 0
-            if memory.full():
-                memory = _Memory(pair)
             return out
 
         for batch in batches:
@@ -323,6 +353,7 @@ def pair_counts(rows: DataFrame, wide: int) -> DataFrame:
 
 def _summed(_, counts: pa.Table, block: pa.Table) -> pa.Table:
     """The documents of a block, with the counts of its pairs."""
+    loaded.cache_clear()  # a worker that read texts before keeps no tokenizers beside the block
     row = {name: block.column(name).combine_chunks() for name in block.column_names}
 
     def values(name: str) -> np.ndarray:
@@ -349,7 +380,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     Memory is bounded by a block, or by the longest text.  Other columns aren't read, whatever their names; an empty
     table gives no rows.
     """
-    rows = written(blocks(docs, path_a, path_b, key, text, block_bytes))
+    rows = written(blocks(docs, path_a, path_b, key, text, block_bytes), group_rows=1)
     wide = loaded(path_a, path_b).wide
     counts = pair_counts(rows, wide)
     own = rows.select("block", F.posexplode("pair").alias("place", "pair"))

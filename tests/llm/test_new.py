@@ -4,6 +4,7 @@ import collections
 import datetime
 import hashlib
 import itertools
+import os
 import re
 import zlib
 
@@ -72,6 +73,36 @@ def test_alignment_query_equals_brute_force(spark):
     assert whole.count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
 
 
+def test_alignment_blocks_are_row_groups_of_their_own(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    groups, plain = [], alignment.written
+
+    def watched(df, *a, **b):
+        out = plain(df, *a, **b)
+        if "pair" in out.columns and "docs" in out.columns:
+            files = [f for f in os.listdir(out._written_at.removeprefix("file:")) if f.endswith(".parquet")]
+            groups.extend(pq.ParquetFile(f"{out._written_at.removeprefix('file:')}/{f}").metadata for f in files)
+        return out
+
+    monkeypatch.setattr(alignment, "written", watched)
+    df = spark.createDataFrame([(i, f"word {i} and more words " * 20) for i in range(40)], "doc_id long, text string").coalesce(1)
+    assert alignment.align(df, *PATHS, block_bytes=1000).count() == 40
+    # the reader decodes all rows of a group that stand in its batch of thousands: a row is a block of megabytes
+    assert sum(m.num_rows for m in groups) > 10 and all(m.row_group(i).num_rows == 1 for m in groups for i in range(m.num_row_groups))
+
+
+def test_alignment_block_does_not_depend_on_what_is_held(monkeypatch):
+    pair = alignment.Pair(*PATHS)
+    texts = [t or "" for t in ODD] * 2 + [f"some words of text {i} {i % 3}" for i in range(50)]
+    want = alignment._block(alignment._Memory(pair), 5, list(range(len(texts))), texts)
+    monkeypatch.setattr(alignment, "HELD_CHARS", 100)
+    monkeypatch.setattr(alignment, "REMEMBERED", 20)
+    memory = alignment._Memory(pair)
+    got = alignment._block(memory, 5, list(range(len(texts))), texts)
+    assert len(memory.texts) < 200 and got.keys() == want.keys() and all(np.array_equal(got[k], want[k]) for k in want)
+
+
 def test_stretches_tokenise_as_the_whole():
     pair, rng = alignment.Pair(*PATHS), np.random.RandomState(3)
     assert pair.cuts
