@@ -1,6 +1,56 @@
 import numpy as np
 
 from siftspark.llm import decontamination
+from siftspark.llm import textkit as tk
+
+
+def test_the_latent_space_is_that_of_all_passages(spark):
+    rng = np.random.RandomState(4)
+    rare = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rare[rng.randint(1 + d % 40)] if rng.rand() < 0.02 else f"c{rng.randint(3000)}" for _ in range(rng.randint(0, 120))) for d in range(900)]
+    items = decontamination.Items.of([(i, " ".join(rare[8 * i : 8 * i + 8])) for i in range(5)])
+    docs = spark.createDataFrame([(t,) for t in [*texts, None]], "_t string").repartition(3)
+    space = decontamination.fit(docs, items, rank=30)  # so wide that the products alone decide
+    place = {int(h): k for k, h in enumerate(items.vocabulary)}
+    word = {w: place[int(tk.word_hash([w])[0])] for w in rare}
+
+    def vector(words):
+        n = np.zeros(len(space.idf))
+        for x in words:
+            if x in word:
+                n[word[x]] += 1
+        v = np.where(n > 0, 1 + np.log(np.maximum(n, 1)), 0) * space.idf
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    split = [t.split() for t in texts]
+    passages = np.array([v for t in split for a in range(0, len(t), decontamination.BLOCK) if (v := vector(t[a : a + 4 * decontamination.BLOCK])).any()])
+    own = np.array([vector(rare[8 * i : 8 * i + 8]) for i in range(5)])
+    assert 1000 < len(passages) < 20_000
+    _, want = np.linalg.eigh(passages.T @ passages + own.T @ own)
+    assert np.linalg.svd(want[:, ::-1][:, :6].T @ space.basis[:, :6], compute_uv=False).min() > 1 - 1e-4
+
+
+def test_products_of_terms_do_not_depend_on_how_many_are_held(spark, monkeypatch):
+    rng = np.random.RandomState(6)
+    words = [f"w{i}" for i in range(30)]
+    texts = [rng.choice(words, n).tolist() for n in (0, 5, 300, 12, 13, 48, 49)]
+    data = [" ".join(t).encode() for t in texts]
+    w = tk.Words(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]).astype(np.int64), tk.ALNUM)
+    ids = tk.HashIndex(tk.word_hash(words)).find(w.hash)
+    idf = np.where(np.arange(30) % 3, 1.0 + np.arange(30) / 30, 0.0)
+
+    def dense():
+        out, n = np.zeros(900), 0
+        for pair, value, passages in decontamination.passage_products(w, ids, idf):
+            out[pair] += value
+            n += passages
+        return out, n
+
+    want, n = dense()
+    monkeypatch.setattr(decontamination, "PRODUCTS", 7)
+    got, m = dense()
+    held = sum(any(int(x[1:]) % 3 for x in t[a : a + 48]) for t in texts for a in range(0, len(t), 12))
+    assert n == m == held and np.allclose(got, want) and np.isclose(want[np.arange(30) * 31].sum(), n)
 
 
 def test_items_outside_the_latent_space_are_found_word_by_word_and_changed(spark, monkeypatch):
