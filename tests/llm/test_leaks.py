@@ -1,16 +1,27 @@
+import corpus_pipeline
 import numpy as np
+import pytest
 
 from siftspark.llm import decontamination
 from siftspark.llm import textkit as tk
 
 
-def test_the_latent_space_is_that_of_all_passages(spark):
+@pytest.mark.parametrize("of", ["op4", "pipeline"])
+def test_the_latent_space_is_that_of_all_passages(spark, tmp_path, monkeypatch, of):
     rng = np.random.RandomState(4)
     rare = [f"w{i}" for i in range(40)]
     texts = [" ".join(rare[rng.randint(1 + d % 40)] if rng.rand() < 0.02 else f"c{rng.randint(3000)}" for _ in range(rng.randint(0, 120))) for d in range(900)]
     items = decontamination.Items.of([(i, " ".join(rare[8 * i : 8 * i + 8])) for i in range(5)])
-    docs = spark.createDataFrame([(t,) for t in [*texts, None]], "_t string").repartition(3)
-    space = decontamination.fit(docs, items, rank=30)  # so wide that the products alone decide
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "doc_id long, text string").repartition(3)
+    fit, made = decontamination.fit, []
+    monkeypatch.setattr(decontamination, "fit", lambda rows, own: made.append(fit(rows, own, rank=30)) or made[-1])  # so wide that the products alone decide
+    bench = spark.createDataFrame([(i, " ".join(rare[8 * i : 8 * i + 8])) for i in range(5)], "item_id long, text string")
+    if of == "op4":
+        decontamination.contaminated(docs, bench)
+    else:
+        bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+        corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    space = made[0]
     place = {int(h): k for k, h in enumerate(items.vocabulary)}
     word = {w: place[int(tk.word_hash([w])[0])] for w in rare}
 
